@@ -1,0 +1 @@
+"""Intentionally empty: every input of this engine is a finite table."""
