@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators import evaluate, neighbours, normalize, recommend, similarity, vectors
@@ -36,6 +36,12 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def rounded_again(similarity_column: str) -> Column:
+    """Six decimals of a similarity that is already rounded to ten: ties are possible, and engines
+    differ in how they round those, so the rounding is spelled out."""
+    return F.floor(F.col(similarity_column) * 1e6 + 0.5) / 1e6
+
+
 def query(build: Callable[[TestTables], DataFrame]) -> Callable[[TestTables], DataFrame]:
     QUERIES[build.__name__] = lambda spark, sf_dir: rounded(build(load(spark, sf_dir)))
     return build
@@ -174,12 +180,12 @@ def item_raters(t):
 
 @query
 def cosine_similarity(t):
-    return similarity.similarities(model(t).pairs, "cosine")
+    return similarity.similarities(model(t).pairs, "cosine").withColumn("sim", rounded_again("sim"))
 
 
 @query
 def jaccard_similarity(t):
-    return similarity.similarities(model(t).pairs, "jaccard")
+    return similarity.similarities(model(t).pairs, "jaccard").withColumn("sim", rounded_again("sim"))
 
 
 @query
@@ -256,7 +262,7 @@ def similarity_report(t):
 
 @query
 def knn_k30(t):
-    return model(t).neighbours(30)
+    return model(t).neighbours(30).withColumn("sim", rounded_again("sim"))
 
 
 @query
