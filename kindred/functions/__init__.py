@@ -1,3 +1,14 @@
-from kindred.functions.rating import denormalized, normalized, safe_ratio, scale
+from kindred.functions.pair import first_of, pair_key, second_of, symmetric_pair_key
+from kindred.functions.rating import denormalized, normalized, rounded_similarity, safe_ratio, scale
 
-__all__ = ["denormalized", "normalized", "safe_ratio", "scale"]
+__all__ = [
+    "denormalized",
+    "first_of",
+    "normalized",
+    "pair_key",
+    "rounded_similarity",
+    "safe_ratio",
+    "scale",
+    "second_of",
+    "symmetric_pair_key",
+]

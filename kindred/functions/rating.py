@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kindred.params import RATING_HI, RATING_LO
+from kindred.params import RATING_HI, RATING_LO, SIMILARITY_DECIMALS
 
 
 def scale(x: Column, y: Column, lo: float = RATING_LO, hi: float = RATING_HI) -> Column:
@@ -26,3 +26,10 @@ def denormalized(mean: Column, dev: Column, lo: float = RATING_LO, hi: float = R
 def safe_ratio(num: Column, den: Column) -> Column:
     """``num / den``, and 0 where there is nothing to divide by (zero or a missing join side)."""
     return F.coalesce(F.try_divide(num, den), F.lit(0.0))
+
+
+def rounded_similarity(sim: Column, decimals: int = SIMILARITY_DECIMALS) -> Column:
+    """``sim`` to a fixed number of decimals, in plain double arithmetic: ``round`` goes through
+    decimal strings, which is slow for every pair of users."""
+    unit = float(10**decimals)
+    return F.rint(sim * unit) / unit

@@ -1,76 +1,105 @@
 """Joins within the groups of a key when some groups are too large for one task.
 
-Matching the members of a group with each other costs the square of the group's size. A group of more
-than ``block_rows`` rows is cut into ``b`` blocks by a hash of the member, and its rows are sent to a
-grid of ``b`` by ``b`` cells, one for each pair of blocks. Each cell is a join key of its own, so a hot
-group becomes many small joins that any number of tasks can share. Every pair of members meets in
-exactly one cell: the result is that of the plain join. Rows of all other groups are sent once.
+Matching the members of a group with each other costs the square of the group's size, so neither the
+number of tasks nor the work of one task may follow from the bytes that go in. The group sizes are
+counted first (one row comes back), and decide two things:
+
+* how many tasks share the join, from the number of matches it will find;
+* which groups are hot. A group of more than ``block_rows`` rows is cut into ``b`` blocks by a hash of
+  the member, and its rows are sent to a grid of ``b`` by ``b`` cells, one for each pair of blocks. Each
+  cell is a join key of its own, so a hot group becomes many small joins that any number of tasks can
+  share. Every pair of members meets in exactly one cell: the result is that of the plain join. Rows of
+  all other groups are sent once, and without hot groups there are no cells at all.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.params import BLOCK_ROWS, MAX_HOT_KEYS
+from kindred.params import BLOCK_ROWS, MATCHES_PER_TASK, MAX_HOT_KEYS, MAX_TASKS
 
 
-def hot_keys(key: str, *frames: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(key, blocks)`` for the keys that need more than one block.
+@dataclass(frozen=True)
+class Groups:
+    """What is known about the groups of ``key`` before they are joined."""
 
-    A hot key holds more than 1/MAX_HOT_KEYS of all rows, so the result has fewer than MAX_HOT_KEYS
-    rows however large the input is, and may be broadcast.
+    key: str
+    hot: DataFrame | None
+    self_tasks: int
+    join_tasks: int
+
+
+def measure_groups(key: str, left: DataFrame, right: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> Groups:
+    """Count the groups of ``key`` in ``left``, and in ``right`` if they will be joined.
+
+    A hot group holds more than 1/MAX_HOT_KEYS of all rows. So there are fewer than MAX_HOT_KEYS of
+    them however large the input is, and the table ``hot`` of ``(key, blocks)`` may be broadcast.
     """
-    rows = reduce(DataFrame.unionAll, [df.select(key) for df in frames])
-    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
-    per_block = F.greatest(F.lit(float(block_rows)), total / F.lit(MAX_HOT_KEYS))
-    return (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > per_block)
-        .select(key, F.ceil(F.col("n") / per_block).cast("int").alias("blocks"))
-    )
-
-
-def with_block(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
+    rows = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r"))
+    if right is not None:
+        rows = rows.unionAll(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    counts = rows.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    n, left_n, right_n = F.col("l") + F.col("r"), F.col("l").cast("double"), F.col("r").cast("double")
+    size = counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+        F.coalesce(F.max(n), F.lit(0)).alias("largest"),
+        F.coalesce(F.sum(left_n * (left_n + 1) / 2), F.lit(0.0)).alias("self_matches"),
+        F.coalesce(F.sum(left_n * right_n), F.lit(0.0)).alias("join_matches"),
+    ).first()
+    per_block = max(block_rows, size.rows / MAX_HOT_KEYS)
+    hot = None
+    if size.largest > per_block:
+        hot = counts.where(n > F.lit(per_block)).select(key, F.ceil(n / F.lit(per_block)).cast("int").alias("blocks"))
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    tasks = lambda matches: min(MAX_TASKS, max(cores, math.ceil(matches / MATCHES_PER_TASK)))
+    return Groups(key, hot, tasks(size.self_matches), tasks(size.join_matches))
+
+
+def with_block(df: DataFrame, member: str, groups: Groups) -> DataFrame:
     """Add ``blocks``, the number of blocks of the row's group, and ``block``, the row's own one."""
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("block", F.pmod(F.xxhash64(member), "blocks").cast("int"))
-    )
+    if groups.hot is None:
+        return df.withColumns({"blocks": F.lit(1), "block": F.lit(0)})
+    found = df.join(F.broadcast(groups.hot), groups.key, "left")
+    blocks = F.coalesce("blocks", F.lit(1))
+    return found.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64(member), blocks).cast("int")})
 
 
 def _cells(df: DataFrame, own: str, other: str, first: Column, last: Column) -> DataFrame:
-    return (
-        df.withColumn(other, F.explode(F.sequence(first, last)))
-        .withColumnRenamed("block", own)
-        .drop("blocks")
-    )
+    return df.withColumn(other, F.explode(F.sequence(first, last))).withColumnRenamed("block", own).drop("blocks")
 
 
-def group_join(left: DataFrame, right: DataFrame, key: str, members: tuple[str, str], hot: DataFrame) -> DataFrame:
-    """Equi-join on ``key``; ``members`` names the column that identifies a row within its group."""
-    every = (F.lit(0), F.col("blocks") - 1)
-    cells_left = _cells(with_block(left, key, members[0], hot), "cell_l", "cell_r", *every)
-    cells_right = _cells(with_block(right, key, members[1], hot), "cell_r", "cell_l", *every)
-    return cells_left.join(cells_right, [key, "cell_l", "cell_r"]).drop("cell_l", "cell_r")
+def group_join(left: DataFrame, right: DataFrame, groups: Groups, members: tuple[str, str]) -> DataFrame:
+    """Equi-join on the key; ``members`` names the column that identifies a row within its group."""
+    keys = [groups.key]
+    if groups.hot is not None:
+        every = (F.lit(0), F.col("blocks") - 1)
+        left = _cells(with_block(left, members[0], groups), "cell_l", "cell_r", *every)
+        right = _cells(with_block(right, members[1], groups), "cell_r", "cell_l", *every)
+        keys += ["cell_l", "cell_r"]
+    joined = left.repartition(groups.join_tasks, *keys).join(right.repartition(groups.join_tasks, *keys), keys)
+    return joined.drop("cell_l", "cell_r")
 
 
-def group_self_join(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
-    """Join ``df`` with itself on ``key``, each unordered pair of members once, with itself included.
+def group_self_join(df: DataFrame, groups: Groups, member: str) -> DataFrame:
+    """Join ``df`` with itself on the key, each unordered pair of members once, with itself included.
 
     Columns other than the key come back twice, with suffixes ``_l`` and ``_r``. Only the cells on one
     side of the grid's diagonal exist, so which member is on the left is arbitrary in hot groups.
     """
-    blocked = with_block(df, key, member, hot)
-    cells_left = _cells(blocked, "cell_l", "cell_r", F.col("block"), F.col("blocks") - 1)
-    cells_right = _cells(blocked, "cell_r", "cell_l", F.lit(0), F.col("block"))
-    others = [c for c in df.columns if c != key]
-    cells = [key, "cell_l", "cell_r"]
-    left = cells_left.select(*cells, *[F.col(c).alias(f"{c}_l") for c in others])
-    right = cells_right.select(*cells, *[F.col(c).alias(f"{c}_r") for c in others])
-    once = (F.col("cell_l") < F.col("cell_r")) | (F.col(f"{member}_l") <= F.col(f"{member}_r"))
-    return left.join(right, cells).where(once).drop("cell_l", "cell_r")
+    keys = [groups.key]
+    left = right = df
+    once = F.col(f"{member}_l") <= F.col(f"{member}_r")
+    if groups.hot is not None:
+        blocked = with_block(df, member, groups)
+        left = _cells(blocked, "cell_l", "cell_r", F.col("block"), F.col("blocks") - 1)
+        right = _cells(blocked, "cell_r", "cell_l", F.lit(0), F.col("block"))
+        keys += ["cell_l", "cell_r"]
+        once = (F.col("cell_l") < F.col("cell_r")) | once
+    others = [c for c in df.columns if c != groups.key]
+    left = left.repartition(groups.self_tasks, *keys).select(*keys, *[F.col(c).alias(f"{c}_l") for c in others])
+    right = right.repartition(groups.self_tasks, *keys).select(*keys, *[F.col(c).alias(f"{c}_r") for c in others])
+    return left.join(right, keys).where(once).drop("cell_l", "cell_r")

@@ -16,24 +16,28 @@ def both_directions(sims: DataFrame) -> DataFrame:
     return sims.where(F.col("u") != F.col("v")).select(F.inline(either))
 
 
-def nearest(directed: DataFrame, n_users: Column, k: int) -> DataFrame:
+def nearest(directed: DataFrame, n_users: int | Column, k: int, prune: bool = True) -> DataFrame:
     """``(u, v, sim, pos)``: the neighbours with a non-zero similarity among the first ``k``.
 
     All other users are ranked by similarity, ties by id. Users in no pair have similarity zero and
     rank as one block between the positive and the negative similarities. They are not materialized:
-    the negative ones are moved down by the size of that block. Ranks never rise by this, so the ``k``
-    first non-zero ones are enough, and the rank limit applies before the shuffle as well.
+    the negative ones are moved down by the size of that block.
+
+    ``prune`` is for users with more neighbours than one task should sort. Positions are never better
+    than ranks among the non-zero ones, so the ``k`` first of those are enough, and Spark applies this
+    limit in every task before the shuffle. The neighbours are then counted in a second pass. Without
+    it, rank and count come from the same sorted groups.
     """
-    best = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
-    head = directed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    listed = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
-    zeros = n_users - 1 - F.col("n_listed")
+    user = Window.partitionBy("u")
+    ranked = directed.withColumn("rank", F.row_number().over(user.orderBy(F.desc("sim"), "v")))
+    if prune:
+        listed = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
+        ranked = ranked.where(F.col("rank") <= k).join(listed, "u")
+    else:
+        ranked = ranked.withColumn("n_listed", F.count(F.lit(1)).over(user))
+    zeros = F.lit(n_users) - 1 - F.col("n_listed")
     pos = F.when(F.col("sim") > 0, F.col("rank")).otherwise(F.col("rank") + zeros).cast("long")
-    return (
-        head.join(listed, "u")
-        .select("u", "v", "sim", pos.alias("pos"))
-        .where(F.col("pos") <= k)
-    )
+    return ranked.select("u", "v", "sim", pos.alias("pos")).where(F.col("pos") <= k)
 
 
 def neighbour_storage(stats: DataFrame, k_values: Sequence[int]) -> DataFrame:

@@ -41,13 +41,23 @@ def user_stats(ratings: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI)
     )
 
 
+def with_stats(ratings: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach the statistics of its user to each rating.
+
+    There is one statistics row per user, so its side is the one to hash, and the ratings need no sort.
+    A user with very many ratings makes a skewed partition of ratings only, which adaptive execution
+    splits. Without the hint a small ratings table would be broadcast to a few statistics tasks.
+    """
+    return ratings.join(stats.hint("shuffle_hash"), "user_id")
+
+
 def normalized_ratings(
     ratings: DataFrame, stats: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI
 ) -> DataFrame:
     """``(user_id, item_id, dev, pre, n_items)``: the deviation, the same scaled to a unit vector per
     user, and the size of that vector. A user whose ratings are all equal has the zero vector."""
     dev = normalized(F.col("rating"), F.col("user_avg"), lo, hi)
-    return ratings.join(stats, "user_id").select(
+    return with_stats(ratings, stats).select(
         "user_id", "item_id", dev.alias("dev"), safe_ratio(dev, F.col("norm")).alias("pre"), "n_items"
     )
 
@@ -55,7 +65,7 @@ def normalized_ratings(
 def rating_scales(
     ratings: DataFrame, stats: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI
 ) -> DataFrame:
-    return ratings.join(stats, "user_id").select(
+    return with_stats(ratings, stats).select(
         "user_id", "item_id", scale(F.col("rating"), F.col("user_avg"), lo, hi).alias("scale")
     )
 

@@ -2,39 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.functions import denormalized, safe_ratio
-from kindred.operators.blocks import group_join
+from kindred.functions import denormalized, pair_key, safe_ratio, symmetric_pair_key
+from kindred.operators.blocks import Groups, group_join
 from kindred.operators.similarity import metric_column
 from kindred.params import RATING_HI, RATING_LO
 
 
-def rater_evidence(test: DataFrame, normed: DataFrame, hot: DataFrame) -> DataFrame:
+def rater_evidence(test: DataFrame, normed: DataFrame, groups: Groups) -> DataFrame:
     """``(user_id, item_id, rater, dev)``: for each row to predict, the raters of its item."""
     wanted = test.select("item_id", "user_id")
     raters = normed.select("item_id", F.col("user_id").alias("rater"), "dev")
-    return group_join(wanted, raters, "item_id", ("user_id", "rater"), hot)
+    return group_join(wanted, raters, groups, ("user_id", "rater"))
+
+
+def _keyed(evidence: DataFrame, pair: Column) -> DataFrame:
+    return evidence.select("user_id", "item_id", "dev", pair.alias("pair"))
 
 
-def with_pair(evidence: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Attach the symmetric pair ``u <= v`` of user and rater; evidence without a pair has no weight."""
-    return evidence.withColumns(
-        {"u": F.least("user_id", "rater"), "v": F.greatest("user_id", "rater")}
-    ).join(pairs, ["u", "v"])
+def with_similarity(evidence: DataFrame, pairs: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Attach the similarities of user and rater, one column per metric. A rater who shares no item
+    with the user has no weight and is left out."""
+    sims = pairs.select("pair", *[metric_column(m).alias(m) for m in metrics])
+    return _keyed(evidence, symmetric_pair_key(F.col("user_id"), F.col("rater"))).join(sims, "pair")
 
 
 def with_neighbour(evidence: DataFrame, neighbours: DataFrame) -> DataFrame:
-    """Attach the rater's place among the user's neighbours; other raters have no weight."""
-    return evidence.withColumns({"u": F.col("user_id"), "v": F.col("rater")}).join(neighbours, ["u", "v"])
+    """Attach the rater's place among the user's neighbours; other raters are left out."""
+    placed = neighbours.select(pair_key(F.col("u"), F.col("v")).alias("pair"), "sim", "pos")
+    return _keyed(evidence, pair_key(F.col("user_id"), F.col("rater"))).join(placed, "pair")
 
 
-def metric_weights(*metrics: str) -> dict[str, Column]:
-    return {m: metric_column(m) for m in metrics}
+def metric_weights(metrics: Sequence[str]) -> dict[str, Column]:
+    return {m: F.col(m) for m in metrics}
 
 
-def neighbour_weights(k_values) -> dict[str, Column]:
+def neighbour_weights(k_values: Sequence[int]) -> dict[str, Column]:
     return {f"k{k}": F.when(F.col("pos") <= k, F.col("sim")).otherwise(F.lit(0.0)) for k in k_values}
 
 

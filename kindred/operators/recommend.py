@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.functions import denormalized, normalized, safe_ratio
+from kindred.functions import denormalized, normalized, rounded_similarity, safe_ratio
 from kindred.operators.neighbours import nearest
 from kindred.operators.normalize import global_avg, user_count, user_stats
 from kindred.operators.predict import neighbour_weights, weighted_sums
-from kindred.params import RATING_HI, RATING_LO, RECOMMEND_K_VALUES, SIMILARITY_DECIMALS, TOP_N
+from kindred.params import RATING_HI, RATING_LO, RECOMMEND_K_VALUES, TOP_N
 
 
 def with_personal(ratings: DataFrame, personal: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def personal_similarities(
         .select("item_id", unit.alias("my_pre"))
     )
     shared = ratings.where(F.col("user_id") != user_id).join(mine, "item_id")
-    dot = F.round(F.sum(unit * F.col("my_pre")), SIMILARITY_DECIMALS)
+    dot = rounded_similarity(F.sum(unit * F.col("my_pre")))
     return (
         shared.join(stats, "user_id")
         .groupBy(F.col("user_id").alias("v"))

@@ -11,21 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.blocks import group_self_join
-from kindred.params import BYTES_PER_SIMILARITY, SIMILARITY_DECIMALS
+from kindred.functions import first_of, rounded_similarity, second_of, symmetric_pair_key
+from kindred.operators.blocks import Groups, group_self_join
+from kindred.params import BYTES_PER_SIMILARITY
 
 
-def co_rated_pairs(normed: DataFrame, hot: DataFrame) -> DataFrame:
-    """``(u, v, dot, overlap, sizes)`` for ``u <= v`` with a common item, ``u = v`` included.
+def co_rated_pairs(normed: DataFrame, groups: Groups) -> DataFrame:
+    """``(pair, dot, overlap, sizes)`` for ``u <= v`` with a common item, ``u = v`` included.
 
-    ``dot`` is the product of the unit vectors, ``overlap`` the number of common items and ``sizes``
+    ``pair`` is the key of ``u`` and ``v``, ``dot`` is the product of the unit vectors, ``overlap`` the number of common items and ``sizes``
     the sum of both users' numbers of items.
     """
     ratings = normed.select("item_id", "user_id", "pre", "n_items")
-    matches = group_self_join(ratings, "item_id", "user_id", hot)
-    return matches.groupBy(
-        F.least("user_id_l", "user_id_r").alias("u"), F.greatest("user_id_l", "user_id_r").alias("v")
-    ).agg(
+    matches = group_self_join(ratings, groups, "user_id")
+    pair = symmetric_pair_key(F.col("user_id_l"), F.col("user_id_r"))
+    return matches.groupBy(pair.alias("pair")).agg(
         F.sum(F.col("pre_l") * F.col("pre_r")).alias("dot"),
         F.count(F.lit(1)).alias("overlap"),
         F.max(F.col("n_items_l") + F.col("n_items_r")).alias("sizes"),
@@ -46,20 +46,24 @@ METRICS: dict[str, Callable[[], Column]] = {"cosine": cosine, "jaccard": jaccard
 
 def metric_column(metric: str | Callable[[], Column]) -> Column:
     expression = METRICS[metric] if isinstance(metric, str) else metric
-    return F.round(expression(), SIMILARITY_DECIMALS)
+    return rounded_similarity(expression())
 
 
 def similarities(pairs: DataFrame, metric: str | Callable[[], Column] = "cosine") -> DataFrame:
     """``(u, v, sim)`` for the pairs ``u <= v`` whose similarity is not zero."""
-    return pairs.select("u", "v", metric_column(metric).alias("sim")).where(F.col("sim") != 0)
+    found = pairs.select("pair", metric_column(metric).alias("sim")).where(F.col("sim") != 0)
+    return found.select(first_of(F.col("pair")).alias("u"), second_of(F.col("pair")).alias("v"), "sim")
 
 
-def pair_summary(pairs: DataFrame, n_users: Column, metric: str | Callable[[], Column] = "cosine") -> DataFrame:
+def pair_summary(
+    pairs: DataFrame, n_users: int | Column, metric: str | Callable[[], Column] = "cosine"
+) -> DataFrame:
     """Counts and overlap statistics over all pairs ``u <= v`` of users, in one row.
 
     Pairs without a common item are accounted for in closed form.
     """
     overlap = F.col("overlap").cast("double")
+    users = F.lit(n_users).cast("long")
     found = pairs.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(metric_column(metric) != 0).alias("pairs_nonzero"),
@@ -67,7 +71,7 @@ def pair_summary(pairs: DataFrame, n_users: Column, metric: str | Callable[[], C
         F.max(overlap).alias("max_overlap"),
         F.sum(overlap).alias("total"),
         F.sum(overlap * overlap).alias("squares"),
-    ).withColumn("pairs_all", (n_users * (n_users + 1) / 2).cast("long"))
+    ).withColumn("pairs_all", (users * (users + 1) / 2).cast("long"))
     mean = F.col("total") / F.col("pairs_all")
     return found.select(
         "pairs_all",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.blocks import with_block
+from kindred.operators.blocks import Groups, with_block
 from kindred.params import BLOCK_ROWS
 
 
@@ -23,10 +23,10 @@ def user_vectors(normed: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
 
 
-def item_raters(normed: DataFrame, hot: DataFrame) -> DataFrame:
+def item_raters(normed: DataFrame, groups: Groups) -> DataFrame:
     """``(item_id, block, raters)``: lists of ``(user_id, dev)``, ordered by user within a block."""
     return (
-        with_block(normed, "item_id", "user_id", hot)
+        with_block(normed, "user_id", groups)
         .groupBy("item_id", "block")
         .agg(F.sort_array(F.collect_list(F.struct("user_id", "dev"))).alias("raters"))
     )

@@ -27,3 +27,10 @@ BLOCK_ROWS = 2048
 # An item is treated as hot only if it also holds more than 1/MAX_HOT_KEYS of all rows, so there are
 # never more than MAX_HOT_KEYS of them: this is what bounds the broadcast table of hot items.
 MAX_HOT_KEYS = 100_000
+
+# Largest number of neighbours of one user that one task ranks without pruning them before the shuffle.
+RANKED_ROWS = 1_000_000
+
+# Number of matches within groups that one task of a join produces, and the largest number of tasks.
+MATCHES_PER_TASK = 10_000_000
+MAX_TASKS = 50_000

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.blocks import hot_keys
+from kindred.operators.blocks import Groups, measure_groups
 from kindred.operators.neighbours import both_directions, nearest
-from kindred.operators.normalize import normalized_ratings, user_count, user_stats, with_user_avg
+from kindred.operators.normalize import normalized_ratings, user_stats, with_user_avg
 from kindred.operators.predict import (
     metric_weights,
     neighbour_weights,
@@ -19,13 +19,14 @@ from kindred.operators.predict import (
     rater_evidence,
     weighted_deviation,
     with_neighbour,
-    with_pair,
+    with_similarity,
 )
 from kindred.operators.similarity import co_rated_pairs, similarities
-from kindred.params import BLOCK_ROWS, RATING_HI, RATING_LO
+from kindred.params import BLOCK_ROWS, RANKED_ROWS, RATING_HI, RATING_LO
+from kindred.session import staged
 
 
-@dataclass(frozen=True)
+@dataclass
 class Model:
     """Training ratings, and the ratings to predict: ``(user_id, item_id, rating)`` each."""
 
@@ -37,23 +38,31 @@ class Model:
 
     @cached_property
     def stats(self) -> DataFrame:
-        return user_stats(self.train, self.lo, self.hi)
+        """One row per user, as a table: normalization, predictions and counts read it."""
+        return staged(user_stats(self.train, self.lo, self.hi), "user-stats")
 
     @cached_property
-    def n_users(self) -> Column:
-        return user_count(self.train.select("user_id").distinct())
+    def n_users(self) -> int:
+        return self.stats.count()
 
     @cached_property
     def normed(self) -> DataFrame:
-        return normalized_ratings(self.train, self.stats, self.lo, self.hi)
+        """The normalized ratings as a table: pairs and predictions read it several times."""
+        return staged(normalized_ratings(self.train, self.stats, self.lo, self.hi), "normalized")
 
     @cached_property
-    def hot_items(self) -> DataFrame:
-        return hot_keys("item_id", self.train, self.test, block_rows=self.block_rows)
+    def items(self) -> Groups:
+        return measure_groups("item_id", self.train, self.test, self.block_rows)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return co_rated_pairs(self.normed, self.hot_items)
+        """The co-rated pairs, computed where they are used; see :meth:`keep_pairs`."""
+        return co_rated_pairs(self.normed, self.items)
+
+    def keep_pairs(self) -> Model:
+        """Write the pairs as a table, for jobs that read them more than once."""
+        self.pairs = staged(self.pairs, "pairs")
+        return self
 
     @cached_property
     def test_rows(self) -> DataFrame:
@@ -61,14 +70,16 @@ class Model:
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return rater_evidence(self.test, self.normed, self.hot_items)
+        return rater_evidence(self.test, self.normed, self.items)
 
     def neighbours(self, k: int) -> DataFrame:
-        return nearest(both_directions(similarities(self.pairs)), self.n_users, k)
+        prune = self.n_users > RANKED_ROWS
+        return nearest(both_directions(similarities(self.pairs)), self.n_users, k, prune)
 
     def metric_deviations(self, *metrics: str) -> DataFrame:
         """The test rows with one weighted-deviation column per metric."""
-        return weighted_deviation(self.test_rows, with_pair(self.evidence, self.pairs), metric_weights(*metrics))
+        weighted = with_similarity(self.evidence, self.pairs, metrics)
+        return weighted_deviation(self.test_rows, weighted, metric_weights(metrics))
 
     def neighbour_deviations(self, k_values: Sequence[int]) -> DataFrame:
         """The test rows with one weighted-deviation column ``k<k>`` per k, from one ranking."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators import evaluate, neighbours, normalize, recommend, similarity, vectors
+from kindred.operators.blocks import measure_groups
 from kindred.params import K_VALUES
 from kindred.plans import jobs
 from kindred.plans.model import Model, named
@@ -32,13 +33,16 @@ QUERIES: dict[str, Query] = {}
 
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(
-        *[F.round(f.name, 6).alias(f.name) if f.dataType.typeName() == "double" else f.name for f in df.schema]
+        *[
+            F.round(name, 6).alias(name) if kind == "double" and name != "sim" else name
+            for name, kind in df.dtypes
+        ]
     )
 
 
 def rounded_again(similarity_column: str) -> Column:
     """Six decimals of a similarity that is already rounded to ten: ties are possible, and engines
-    differ in how they round those, so the rounding is spelled out."""
+    differ in how they round those, so the rounding is spelled out and not left to ``rounded``."""
     return F.floor(F.col(similarity_column) * 1e6 + 0.5) / 1e6
 
 
@@ -51,6 +55,14 @@ def model(t: TestTables) -> Model:
     return Model(t.train, t.test)
 
 
+def stats(t: TestTables) -> DataFrame:
+    return normalize.user_stats(t.train)
+
+
+def normed(t: TestTables) -> DataFrame:
+    return normalize.normalized_ratings(t.train, stats(t))
+
+
 # Scans and sinks: the tables are written as text first, then read back.
 
 
@@ -121,44 +133,44 @@ def global_avg(t):
 
 @query
 def user_avg(t):
-    return model(t).stats.select("user_id", "user_avg")
+    return stats(t).select("user_id", "user_avg")
 
 
 @query
 def user_norm(t):
-    return model(t).stats.select("user_id", "norm")
+    return stats(t).select("user_id", "norm")
 
 
 @query
 def global_deviation_avg(t):
-    return normalize.global_deviation_avg(model(t).normed)
+    return normalize.global_deviation_avg(normed(t))
 
 
 @query
 def scale_expr(t):
-    return normalize.rating_scales(t.train, model(t).stats)
+    return normalize.rating_scales(t.train, stats(t))
 
 
 @query
 def normalized_deviation(t):
-    return model(t).normed.select("user_id", "item_id", "dev")
+    return normed(t).select("user_id", "item_id", "dev")
 
 
 @query
 def preprocessed_ratings(t):
-    return model(t).normed.select("user_id", "item_id", "pre")
+    return normed(t).select("user_id", "item_id", "pre")
 
 
 @query
 def test_with_user_avg(t):
-    return model(t).test_rows.select("user_id", "item_id", "rating", "user_avg")
+    return normalize.with_user_avg(t.test, stats(t), t.train).select("user_id", "item_id", "rating", "user_avg")
 
 
 @query
 def user_vectors(t):
     total = F.aggregate(F.map_values("vector"), F.lit(0.0), lambda acc, x: acc + x)
     return (
-        vectors.user_vectors(model(t).normed)
+        vectors.user_vectors(normed(t))
         .groupBy("user_id")
         .agg(F.sum(F.size("vector")).alias("n_items"), F.sum(total).alias("sum_pre"))
     )
@@ -167,9 +179,8 @@ def user_vectors(t):
 @query
 def item_raters(t):
     total = F.aggregate("raters", F.lit(0.0), lambda acc, x: acc + x["dev"])
-    m = model(t)
     return (
-        vectors.item_raters(m.normed, m.hot_items)
+        vectors.item_raters(normed(t), measure_groups("item_id", t.train))
         .groupBy("item_id")
         .agg(F.sum(F.size("raters")).alias("n_raters"), F.sum(total).alias("sum_dev"))
     )
@@ -287,7 +298,7 @@ def lowest_k(t):
 
 @query
 def knn_storage(t):
-    return neighbours.neighbour_storage(model(t).stats, K_VALUES)
+    return neighbours.neighbour_storage(stats(t), K_VALUES)
 
 
 @query

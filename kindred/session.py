@@ -19,6 +19,9 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # The test tables are a few megabytes: let them be cut into as many tasks as there are cores.
+        .config("spark.sql.files.openCostInBytes", "64k")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,16 +99,5 @@ _tables: dict[tuple[str, str], TestTables] = {}
 
 
 def load(spark: SparkSession, sf_dir: str) -> TestTables:
-    """The tables of ``sf_dir``, ingested once per application and again if the table is gone."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _tables:
-        _tables[key] = TestTables(spark, sf_dir)
-        return _tables[key]
-    known = _tables[key]
-    ingested = known.__dict__.get("split_ratings")
-    try:
-        if ingested is not None:
-            spark.read.parquet(ingested.inputFiles()[0])
-    except (AnalysisException, IndexError):
-        _tables[key] = TestTables(spark, sf_dir)
-    return _tables[key]
+    """The tables of ``sf_dir``, ingested once per application."""
+    return _tables.setdefault((spark.sparkContext.applicationId, sf_dir), TestTables(spark, sf_dir))
