@@ -74,13 +74,14 @@ def global_deviation_avg(normed: DataFrame) -> DataFrame:
     return normed.agg(F.avg("dev").alias("dev_avg"))
 
 
-def with_user_avg(rows: DataFrame, stats: DataFrame, ratings: DataFrame) -> DataFrame:
+def mean_rating(stats: DataFrame) -> Column:
+    """The mean of all ratings as a scalar subquery, from one row per user instead of all ratings."""
+    total = F.sum(F.col("user_avg") * F.col("n_items")) / F.sum("n_items")
+    return stats.agg(total.alias("global_avg")).scalar()
+
+
+def with_user_avg(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Attach ``user_avg`` to each row; a user without ratings gets the mean of all ratings."""
     return rows.join(stats.select("user_id", "user_avg"), "user_id", "left").withColumn(
-        "user_avg", F.coalesce("user_avg", global_avg(ratings).scalar())
+        "user_avg", F.coalesce("user_avg", mean_rating(stats))
     )
-
-
-def user_count(stats: DataFrame) -> Column:
-    """Number of users, as a scalar subquery."""
-    return stats.agg(F.count(F.lit(1)).alias("n_users")).scalar()

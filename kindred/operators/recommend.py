@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import denormalized, normalized, rounded_similarity, safe_ratio
-from kindred.operators.neighbours import nearest
-from kindred.operators.normalize import global_avg, user_count, user_stats
+from kindred.operators.normalize import mean_rating
 from kindred.operators.predict import neighbour_weights, weighted_sums
 from kindred.params import RATING_HI, RATING_LO, RECOMMEND_K_VALUES, TOP_N
 
@@ -53,37 +52,30 @@ def personal_similarities(
 
 def personal_predictions(
     ratings: DataFrame,
-    personal: DataFrame,
+    stats: DataFrame,
+    neighbours: DataFrame,
     user_id: int,
     k_values: Sequence[int] = RECOMMEND_K_VALUES,
     lo: float = RATING_LO,
     hi: float = RATING_HI,
 ) -> DataFrame:
-    """``(item_id, k<k>...)``: the user's predicted rating of each unseen item for each k."""
-    everyone = with_personal(ratings, personal)
-    stats = user_stats(everyone, lo, hi)
-    sims = personal_similarities(everyone, stats, user_id, lo, hi)
-    # At most max(k_values) rows, so it can be broadcast.
-    neighbours = nearest(sims, user_count(stats), max(k_values)).join(
-        stats.select(F.col("user_id").alias("v"), "user_avg"), "v"
-    )
+    """``(item_id, k<k>...)``: the user's predicted rating of each unseen item for each k.
+
+    ``neighbours`` are those of this one user: at most ``max(k_values)`` rows, so they are broadcast.
+    """
+    near = neighbours.join(stats.select(F.col("user_id").alias("v"), "user_avg"), "v")
     dev = normalized(F.col("rating"), F.col("user_avg"), lo, hi)
-    evidence = everyone.withColumnRenamed("user_id", "v").join(F.broadcast(neighbours), "v").withColumn("dev", dev)
+    evidence = ratings.withColumnRenamed("user_id", "v").join(F.broadcast(near), "v").withColumn("dev", dev)
     weights = neighbour_weights(k_values)
-    own_avg = F.coalesce(
-        stats.where(F.col("user_id") == user_id).agg(F.max("user_avg").alias("own")).scalar(),
-        global_avg(everyone).scalar(),
-    )
+    own = stats.where(F.col("user_id") == user_id).agg(F.max("user_avg").alias("own")).scalar()
+    mean = F.col("own_avg")
     return (
-        unrated_items(everyone, personal)
+        unrated_items(ratings, ratings.where(F.col("user_id") == user_id))
         .join(weighted_sums(evidence, ["item_id"], weights), "item_id", "left")
-        .withColumn("own_avg", own_avg)
+        .withColumn("own_avg", F.coalesce(own, mean_rating(stats)))
         .select(
             "item_id",
-            *[
-                denormalized(F.col("own_avg"), safe_ratio(F.col(f"{w}_num"), F.col(f"{w}_den")), lo, hi).alias(w)
-                for w in weights
-            ],
+            *[denormalized(mean, safe_ratio(F.col(f"{w}_num"), F.col(f"{w}_den")), lo, hi).alias(w) for w in weights],
         )
     )
 

@@ -22,7 +22,7 @@ SIMILARITY_DECIMALS = 10
 
 # Largest number of ratings of one item that are joined with each other in one group. Items above it
 # are spread over a grid of groups of this size.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 
 # An item is treated as hot only if it also holds more than 1/MAX_HOT_KEYS of all rows, so there are
 # never more than MAX_HOT_KEYS of them: this is what bounds the broadcast table of hot items.

@@ -21,6 +21,7 @@ from kindred.operators.predict import (
     with_neighbour,
     with_similarity,
 )
+from kindred.operators.recommend import personal_predictions, personal_similarities, with_personal
 from kindred.operators.similarity import co_rated_pairs, similarities
 from kindred.params import BLOCK_ROWS, RANKED_ROWS, RATING_HI, RATING_LO
 from kindred.session import staged
@@ -66,7 +67,7 @@ class Model:
 
     @cached_property
     def test_rows(self) -> DataFrame:
-        return with_user_avg(self.test, self.stats, self.train)
+        return with_user_avg(self.test, self.stats)
 
     @cached_property
     def evidence(self) -> DataFrame:
@@ -96,6 +97,38 @@ class Model:
         return predictions(self.neighbour_deviations(k_values), names, self.lo, self.hi).drop("user_avg")
 
 
+@dataclass
+class PersonalModel:
+    """All ratings, and those of the one user who is to get recommendations."""
+
+    ratings: DataFrame
+    personal: DataFrame
+    user_id: int
+    lo: float = RATING_LO
+    hi: float = RATING_HI
+
+    @cached_property
+    def everyone(self) -> DataFrame:
+        return with_personal(self.ratings, self.personal)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return staged(user_stats(self.everyone, self.lo, self.hi), "user-stats")
+
+    @cached_property
+    def n_users(self) -> int:
+        return self.stats.count()
+
+    def neighbours(self, k: int) -> DataFrame:
+        sims = personal_similarities(self.everyone, self.stats, self.user_id, self.lo, self.hi)
+        return nearest(sims, self.n_users, k, prune=self.n_users > RANKED_ROWS)
+
+    def predict(self, *k_values: int) -> DataFrame:
+        """``(item_id, k<k>...)`` for the items that the user has not rated."""
+        near = self.neighbours(max(k_values))
+        return personal_predictions(self.everyone, self.stats, near, self.user_id, k_values, self.lo, self.hi)
+
+
 def named(predicted: DataFrame, column: str) -> DataFrame:
     """A single prediction column as ``prediction``."""
     return predicted.select("user_id", "item_id", "rating", F.col(column).alias("prediction"))

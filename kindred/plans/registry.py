@@ -14,7 +14,7 @@ from kindred.operators import evaluate, neighbours, normalize, recommend, simila
 from kindred.operators.blocks import measure_groups
 from kindred.params import K_VALUES
 from kindred.plans import jobs
-from kindred.plans.model import Model, named
+from kindred.plans.model import Model, PersonalModel, named
 from kindred.sources import (
     read_catalog,
     read_personal,
@@ -163,7 +163,7 @@ def preprocessed_ratings(t):
 
 @query
 def test_with_user_avg(t):
-    return normalize.with_user_avg(t.test, stats(t), t.train).select("user_id", "item_id", "rating", "user_avg")
+    return normalize.with_user_avg(t.test, stats(t)).select("user_id", "item_id", "rating", "user_avg")
 
 
 @query
@@ -346,7 +346,7 @@ def recommend_top5_k300(t):
 
 @query
 def recommend_exact_max(t):
-    predicted = recommend.personal_predictions(t.ratings, t.personal, PERSONAL_ID, [30])
+    predicted = PersonalModel(t.ratings, t.personal, PERSONAL_ID).predict(30)
     best = recommend.with_title(recommend.items_at_maximum(predicted, 30), t.catalog)
     return best.orderBy("item_id").select("item_id", "title", "prediction")
 
