@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -29,7 +30,11 @@ from kindred.session import staged
 
 @dataclass
 class Model:
-    """Training ratings, and the ratings to predict: ``(user_id, item_id, rating)`` each."""
+    """Training ratings, and the ratings to predict: ``(user_id, item_id, rating)`` each.
+
+    The fitted tables (statistics, normalized ratings, group sizes) are made on first use or by
+    :meth:`fit`. Everything else is a plan that is carried out when its result is asked for.
+    """
 
     train: DataFrame
     test: DataFrame
@@ -37,6 +42,10 @@ class Model:
     hi: float = RATING_HI
     block_rows: int = BLOCK_ROWS
 
+    def fit(self) -> Model:
+        self.normed, self.items, self.n_users  # noqa: B018
+        return self
+
     @cached_property
     def stats(self) -> DataFrame:
         """One row per user, as a table: normalization, predictions and counts read it."""
@@ -61,9 +70,10 @@ class Model:
         return co_rated_pairs(self.normed, self.items)
 
     def keep_pairs(self) -> Model:
-        """Write the pairs as a table, for jobs that read them more than once."""
-        self.pairs = staged(self.pairs, "pairs")
-        return self
+        """The same model with its pairs written as a table, for jobs that read them more than once."""
+        kept = copy(self)
+        kept.pairs = staged(self.pairs, "pairs")
+        return kept
 
     @cached_property
     def test_rows(self) -> DataFrame:

@@ -6,6 +6,7 @@ Doubles are rounded to six decimals here and nowhere else, so that two engines c
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +52,17 @@ def query(build: Callable[[TestTables], DataFrame]) -> Callable[[TestTables], Da
     return build
 
 
+@cache
 def model(t: TestTables) -> Model:
+    """One model per set of tables: it is fitted once, and each query runs on the fitted tables."""
     return Model(t.train, t.test)
 
 
+@cache
+def personal_model(t: TestTables) -> PersonalModel:
+    return PersonalModel(t.ratings, t.personal, PERSONAL_ID)
+
+
 def stats(t: TestTables) -> DataFrame:
     return normalize.user_stats(t.train)
 
@@ -330,7 +338,7 @@ def unrated_items(t):
 
 
 def _top5(t, k):
-    report = jobs.recommend_report(t.ratings, t.personal, t.catalog, PERSONAL_ID, [k])
+    report = jobs.recommend_report(personal_model(t), t.catalog, [k])
     return report.orderBy("position").select("item_id", "title", "prediction")
 
 
@@ -346,11 +354,11 @@ def recommend_top5_k300(t):
 
 @query
 def recommend_exact_max(t):
-    predicted = PersonalModel(t.ratings, t.personal, PERSONAL_ID).predict(30)
+    predicted = personal_model(t).predict(30)
     best = recommend.with_title(recommend.items_at_maximum(predicted, 30), t.catalog)
     return best.orderBy("item_id").select("item_id", "title", "prediction")
 
 
 @query
 def recommend_report(t):
-    return jobs.recommend_report(t.ratings, t.personal, t.catalog, PERSONAL_ID)
+    return jobs.recommend_report(personal_model(t), t.catalog)
