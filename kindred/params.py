@@ -33,4 +33,4 @@ RANKED_ROWS = 1_000_000
 
 # Number of matches within groups that one task of a join produces, and the largest number of tasks.
 MATCHES_PER_TASK = 10_000_000
-MAX_TASKS = 50_000
+MAX_TASKS = 20_000

@@ -42,6 +42,11 @@ class Model:
     hi: float = RATING_HI
     block_rows: int = BLOCK_ROWS
 
+    def __post_init__(self) -> None:
+        for df in (self.train, self.test):
+            if dict(df.dtypes)["user_id"] not in ("int", "smallint", "tinyint"):
+                raise ValueError("user_id must be a 32-bit integer: two of them make the key of a pair")
+
     def fit(self) -> Model:
         self.normed, self.items, self.n_users  # noqa: B018
         return self
