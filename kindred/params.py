@@ -31,6 +31,9 @@ MAX_HOT_KEYS = 100_000
 # Largest number of neighbours of one user that one task ranks without pruning them before the shuffle.
 RANKED_ROWS = 1_000_000
 
+# Largest k for which Spark limits a ranking before the shuffle, by its own default.
+RANK_LIMIT = 1000
+
 # Number of matches within groups that one task of a join produces, and the largest number of tasks.
 MATCHES_PER_TASK = 10_000_000
 MAX_TASKS = 20_000

@@ -24,7 +24,7 @@ from kindred.operators.predict import (
 )
 from kindred.operators.recommend import personal_predictions, personal_similarities, with_personal
 from kindred.operators.similarity import co_rated_pairs, similarities
-from kindred.params import BLOCK_ROWS, RANKED_ROWS, RATING_HI, RATING_LO
+from kindred.params import BLOCK_ROWS, RATING_HI, RATING_LO
 from kindred.session import staged
 
 
@@ -89,8 +89,7 @@ class Model:
         return rater_evidence(self.test, self.normed, self.items)
 
     def neighbours(self, k: int) -> DataFrame:
-        prune = self.n_users > RANKED_ROWS
-        return nearest(both_directions(similarities(self.pairs)), self.n_users, k, prune)
+        return nearest(both_directions(similarities(self.pairs)), self.n_users, k)
 
     def metric_deviations(self, *metrics: str) -> DataFrame:
         """The test rows with one weighted-deviation column per metric."""
@@ -136,7 +135,7 @@ class PersonalModel:
 
     def neighbours(self, k: int) -> DataFrame:
         sims = personal_similarities(self.everyone, self.stats, self.user_id, self.lo, self.hi)
-        return nearest(sims, self.n_users, k, prune=self.n_users > RANKED_ROWS)
+        return nearest(sims, self.n_users, k)
 
     def predict(self, *k_values: int) -> DataFrame:
         """``(item_id, k<k>...)`` for the items that the user has not rated."""
