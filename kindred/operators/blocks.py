@@ -5,8 +5,8 @@ number of tasks nor the work of one task may follow from the bytes that go in. T
 counted first (one row comes back), and decide two things:
 
 * how many tasks share the join, from the number of matches it will find;
-* which groups are hot. A group of more than ``block_rows`` rows is cut into ``b`` blocks by a hash of
-  the member, and its rows are sent to a grid of ``b`` by ``b`` cells, one for each pair of blocks. Each
+* which groups are hot. A group of more than ``block_rows`` rows is cut into blocks by a hash of the
+  member, and its rows are sent to a grid with a cell for each pair of a left and a right block. Each
   cell is a join key of its own, so a hot group becomes many small joins that any number of tasks can
   share. Every pair of members meets in exactly one cell: the result is that of the plain join. Rows of
   all other groups are sent once, and without hot groups there are no cells at all.
@@ -25,7 +25,10 @@ from kindred.params import BLOCK_ROWS, MATCHES_PER_TASK, MAX_HOT_KEYS, MAX_TASKS
 
 @dataclass(frozen=True)
 class Groups:
-    """What is known about the groups of ``key`` before they are joined."""
+    """What is known about the groups of ``key`` before they are joined.
+
+    ``hot`` has the columns ``(key, blocks_l, blocks_r)``, or is None if no group is hot.
+    """
 
     key: str
     hot: DataFrame | None
@@ -36,56 +39,67 @@ class Groups:
 def measure_groups(key: str, left: DataFrame, right: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> Groups:
     """Count the groups of ``key`` in ``left``, and in ``right`` if they will be joined.
 
-    A hot group holds more than 1/MAX_HOT_KEYS of all rows. So there are fewer than MAX_HOT_KEYS of
-    them however large the input is, and the table ``hot`` of ``(key, blocks)`` may be broadcast.
+    A hot group holds more than 1/MAX_HOT_KEYS of all rows on one side. So there are fewer than
+    MAX_HOT_KEYS of them however large the input is, and the table ``hot`` may be broadcast.
     """
     rows = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r"))
     if right is not None:
         rows = rows.unionAll(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
     counts = rows.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    n, left_n, right_n = F.col("l") + F.col("r"), F.col("l").cast("double"), F.col("r").cast("double")
+    largest, left_n, right_n = F.greatest("l", "r"), F.col("l").cast("double"), F.col("r").cast("double")
     size = counts.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
-        F.coalesce(F.max(n), F.lit(0)).alias("largest"),
+        F.coalesce(F.sum(F.col("l") + F.col("r")), F.lit(0)).alias("rows"),
+        F.coalesce(F.max(largest), F.lit(0)).alias("largest"),
         F.coalesce(F.sum(left_n * (left_n + 1) / 2), F.lit(0.0)).alias("self_matches"),
         F.coalesce(F.sum(left_n * right_n), F.lit(0.0)).alias("join_matches"),
     ).first()
     per_block = max(block_rows, size.rows / MAX_HOT_KEYS)
     hot = None
     if size.largest > per_block:
-        hot = counts.where(n > F.lit(per_block)).select(key, F.ceil(n / F.lit(per_block)).cast("int").alias("blocks"))
+        blocks = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(per_block)), F.lit(1)).cast("int")
+        hot = counts.where(largest > F.lit(per_block))
+        hot = hot.select(key, blocks("l").alias("blocks_l"), blocks("r").alias("blocks_r"))
     cores = left.sparkSession.sparkContext.defaultParallelism
     tasks = lambda matches: min(MAX_TASKS, max(cores, math.ceil(matches / MATCHES_PER_TASK)))
     return Groups(key, hot, tasks(size.self_matches), tasks(size.join_matches))
 
 
-def with_block(df: DataFrame, member: str, groups: Groups) -> DataFrame:
-    """Add ``blocks``, the number of blocks of the row's group, and ``block``, the row's own one."""
+def with_block(df: DataFrame, member: str, groups: Groups, side: str = "l") -> DataFrame:
+    """Add ``blocks_l`` and ``blocks_r`` of the row's group, and ``block``, the row's own one on its side."""
+    one = F.lit(1)
     if groups.hot is None:
-        return df.withColumns({"blocks": F.lit(1), "block": F.lit(0)})
+        return df.withColumns({"blocks_l": one, "blocks_r": one, "block": F.lit(0)})
     found = df.join(F.broadcast(groups.hot), groups.key, "left")
-    blocks = F.coalesce("blocks", F.lit(1))
-    return found.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64(member), blocks).cast("int")})
+    blocks = {name: F.coalesce(name, one) for name in ("blocks_l", "blocks_r")}
+    own = F.pmod(F.xxhash64(member), blocks[f"blocks_{side}"]).cast("int")
+    return found.withColumns({**blocks, "block": own})
 
 
 def _cells(df: DataFrame, own: str, other: str, first: Column, last: Column) -> DataFrame:
-    return df.withColumn(other, F.explode(F.sequence(first, last))).withColumnRenamed("block", own).drop("blocks")
+    """Send each row to the cells of its block: ``own`` is the block, ``other`` runs from first to last."""
+    sent = df.withColumn(other, F.explode(F.sequence(first, last))).withColumnRenamed("block", own)
+    return sent.drop("blocks_l", "blocks_r")
 
 
 def group_join(left: DataFrame, right: DataFrame, groups: Groups, members: tuple[str, str]) -> DataFrame:
-    """Equi-join on the key; ``members`` names the column that identifies a row within its group."""
+    """Equi-join on the key; ``members`` names the column that identifies a row within its group.
+
+    Each side has its own number of blocks: where one side of a hot group is small, the rows of the
+    other side are spread but not repeated.
+    """
     keys = [groups.key]
     if groups.hot is not None:
-        every = (F.lit(0), F.col("blocks") - 1)
-        left = _cells(with_block(left, members[0], groups), "cell_l", "cell_r", *every)
-        right = _cells(with_block(right, members[1], groups), "cell_r", "cell_l", *every)
+        zero = F.lit(0)
+        left = _cells(with_block(left, members[0], groups, "l"), "cell_l", "cell_r", zero, F.col("blocks_r") - 1)
+        right = _cells(with_block(right, members[1], groups, "r"), "cell_r", "cell_l", zero, F.col("blocks_l") - 1)
         keys += ["cell_l", "cell_r"]
     joined = left.repartition(groups.join_tasks, *keys).join(right.repartition(groups.join_tasks, *keys), keys)
     return joined.drop("cell_l", "cell_r")
 
 
 def group_self_join(df: DataFrame, groups: Groups, member: str) -> DataFrame:
-    """Join ``df`` with itself on the key, each unordered pair of members once, with itself included.
+    """Join ``df``, the left side of ``groups``, with itself on the key: each unordered pair of members
+    once, with itself included.
 
     Columns other than the key come back twice, with suffixes ``_l`` and ``_r``. Only the cells on one
     side of the grid's diagonal exist, so which member is on the left is arbitrary in hot groups.
@@ -94,8 +108,8 @@ def group_self_join(df: DataFrame, groups: Groups, member: str) -> DataFrame:
     left = right = df
     once = F.col(f"{member}_l") <= F.col(f"{member}_r")
     if groups.hot is not None:
-        blocked = with_block(df, member, groups)
-        left = _cells(blocked, "cell_l", "cell_r", F.col("block"), F.col("blocks") - 1)
+        blocked = with_block(df, member, groups, "l")
+        left = _cells(blocked, "cell_l", "cell_r", F.col("block"), F.col("blocks_l") - 1)
         right = _cells(blocked, "cell_r", "cell_l", F.lit(0), F.col("block"))
         keys += ["cell_l", "cell_r"]
         once = (F.col("cell_l") < F.col("cell_r")) | once

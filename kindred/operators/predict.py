@@ -17,7 +17,7 @@ def rater_evidence(test: DataFrame, normed: DataFrame, groups: Groups) -> DataFr
     """``(user_id, item_id, rater, dev)``: for each row to predict, the raters of its item."""
     wanted = test.select("item_id", "user_id")
     raters = normed.select("item_id", F.col("user_id").alias("rater"), "dev")
-    return group_join(wanted, raters, groups, ("user_id", "rater"))
+    return group_join(raters, wanted, groups, ("rater", "user_id"))
 
 
 def _keyed(evidence: DataFrame, pair: Column) -> DataFrame:

@@ -67,6 +67,7 @@ class Model:
 
     @cached_property
     def items(self) -> Groups:
+        """The items, with their raters in the training ratings on the left and the test rows on the right."""
         return measure_groups("item_id", self.train, self.test, self.block_rows)
 
     @cached_property
