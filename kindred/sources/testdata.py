@@ -83,13 +83,11 @@ class TestTables:
 
     @property
     def runs(self) -> DataFrame:
-        """Event values as timed runs: clicks stand for similarity runs, views for prediction runs."""
-        stage = F.when(F.col("event_type") == "click", "similarity").when(
-            F.col("event_type") == "view", "prediction"
-        )
+        """All event values as timed runs: clicks and views stand for similarity runs, the rest for predictions."""
+        stage = F.when(F.col("event_type").isin("click", "view"), "similarity").otherwise("prediction")
         return self.read("events").select(
             stage.alias("stage"), F.col("event_id").alias("run"), F.col("value").alias("micros")
-        ).where(F.col("stage").isNotNull())
+        )
 
     def path(self, name: str) -> str:
         return scratch_path(self.spark, name)

@@ -225,8 +225,8 @@ ORACLES: dict[str, str] = {
     "run_rates": _with(
         _ALL_PAIRS,
         """SELECT ROUND(s / pairs_nonzero, 6) AS micros_per_pair, ROUND(s / p, 6) AS similarity_to_prediction
-           FROM summary, (SELECT AVG(value) AS s FROM events WHERE event_type = 'click'),
-                (SELECT AVG(value) AS p FROM events WHERE event_type = 'view')""",
+           FROM summary, (SELECT AVG(value) AS s FROM events WHERE event_type IN ('click', 'view')),
+                (SELECT AVG(value) AS p FROM events WHERE event_type NOT IN ('click', 'view'))""",
     ),
     "similarity_report": _with(
         _ALL_PAIRS + _WEIGHTED.removeprefix(_PAIRS),
