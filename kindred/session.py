@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         # The test tables are a few megabytes: let them be cut into as many tasks as there are cores.
         .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        # Call sites in error messages cost a few calls into the JVM for every expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -148,8 +148,8 @@ def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
-def _knn_predicted(column: str) -> str:
-    return _with(_SWEPT.replace(f"UNNEST({list(K_VALUES)})", "UNNEST([30])"), column)
+def _knn_predicted(select: str) -> str:
+    return _with(_SWEPT.replace(f"UNNEST({list(K_VALUES)})", "UNNEST([30])"), select)
 
 
 ORACLES: dict[str, str] = {
