@@ -95,10 +95,10 @@ def mix_units(documents: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: in
         ordered.where("mass > 0")
         .select(*source, "key", "size", "mass", "sent", "source_size", "target", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("copy"))
         .withColumn("finish", (F.col("copy") * F.col("source_size") + F.col("sent")) / F.col("target"))
-        .withColumn("range", F.floor(F.least(F.col("finish"), F.lit(4.0)) * turns).cast("long"))
+        .withColumn("range", F.floor(F.col("finish") * turns).cast("long"))
         .drop("sent", "source_size", "target")
     )
-    stream = running_sum(copies, "mass", [], "range", ["finish", *source, "key", "copy"], "spent")
+    stream = running_sum(copies, "mass", [], "range", ["finish", *source, "key", "copy"], "spent", known.words)
     taken = stream.where(F.col("spent") <= known.words).groupBy(*unit).agg(F.count(F.lit(1)).alias("copies"))
     return ordered.drop("mass", "sent").join(taken, unit, "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
 

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import mixing, secret_scan, sharding
+from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, toxicity
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Tasks that run Python import this package: from here, unless the cluster has it installed elsewhere.
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -82,3 +91,53 @@ def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *counts, F.sha2(secret_scan.joined_spans(base), 256).alias("base_sha256"),
         secret_scan.joined_spans(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLES["op7_near_duplicates"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 5 THEN [hash(w)]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i + 4]))) END AS s FROM words),
+items AS (SELECT doc_id, unnest(s) AS item FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM ends UNION SELECT r.a, e.b FROM reach r JOIN ends e ON r.b = e.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id,
+  s.doc_id = least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS kept
+FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+@query
+def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text")).select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(documents, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    # Only ids and scores leave the tasks.
+    scored = toxicity.score(documents, model).select("row.doc_id", "score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
