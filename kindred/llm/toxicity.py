@@ -10,7 +10,7 @@ Fitting uses at most ``SAMPLE`` labelled rows, chosen by a hash of the id, never
 collected of them is bounded by that number and ``TERMS``. Scoring reads every text as a whole, and nothing but the text.
 
 Defined results: null and empty texts are texts without terms, and are scored. Rows are scored one by one, so repeated rows
-get equal scores. Labels without a document, null labels and null ids are ignored; a document labelled twice counts twice. With no labelled row, or labels of one kind only, the score is
+get equal scores. Labels without a document, null labels and null ids are ignored; equal texts with equal labels count once. With no labelled row, or labels of one kind only, the score is
 the share of toxic labels, 0 without labels. Empty tables give empty tables. Other columns are carried along, whatever their names.
 """
 
@@ -32,9 +32,10 @@ FOLDS = 5
 SAMPLE = 12_000  # labelled rows that the fit may use
 TERMS = 256  # terms that become voters
 LEAST_DOCUMENTS = 4  # toxic documents of the sample that a term must occur in
-LEAST_ODDS = 4.0  # how much more often a term must occur in toxic documents, as a factor
+SEVERAL = (2, 3, 4, 6, 9)
+LEAST_PRECISION = 0.5  # share of a term's documents that must be toxic
 CHANCE = 0.2  # expected number of voters that stand out by chance
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7)
 ROUNDS = 30
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -52,21 +53,21 @@ def terms_of(text: str) -> set[str]:
 PATTERNS = (  # voters for patterns of writing: they say toxic, or nothing
     re.compile(r"[!?]{3,}"),
     re.compile(r"\b[A-Z]{4,}(?:\W+[A-Z]{2,}){3,}"),
-    re.compile(r"\b\w*[a-z][@$*#!]{1,3}[a-z]\w*\b"),
+    re.compile(r"[a-z][@$*#!]{1,3}[a-z]"),
     re.compile(r"\b(?:you|du|tu|vous|eres)\b[^.\n]{0,20}\b(?:are|bist|es|êtes|un|una|ein|a)\b", re.I),
 )
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the features: each voter's vote, the number of terms found, and a constant."""
+    """Weights of the voters' votes, and a constant."""
 
     terms: tuple[str, ...]
     weights: tuple[float, ...]
     constant: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return _sigmoid(features(texts, self.terms) @ np.array(self.weights) + self.constant)
+        return _sigmoid(votes(texts, self.terms) @ np.array(self.weights) + self.constant)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -74,72 +75,75 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def votes(texts: list[str], terms: tuple[str, ...]) -> np.ndarray:
-    """1 for toxic, -1 for clean, 0 for nothing: a column per term, per pattern, and one that is -1 for texts without any term."""
+    """1 for toxic, -1 for clean, 0 for nothing. The columns: one per term; one per number in ``SEVERAL``, for so many different words
+    that a term covers; one per pattern; and one that says clean of texts without any term."""
     place = {t: i for i, t in enumerate(terms)}
-    found = np.zeros((len(texts), len(terms) + len(PATTERNS) + 1), dtype=np.int8)
-    wanted = place.keys()
+    beginnings = [(n, {t[:-1]: i for t, i in place.items() if t[-1] == "*" and len(t) == n + 1}) for n in PREFIXES]
+    beginnings = [(n, known) for n, known in beginnings if known]
+    heads = {t.rstrip("*")[: PREFIXES[0]] for t in terms}
+    found = np.zeros((len(texts), len(terms) + len(SEVERAL) + len(PATTERNS) + 1), dtype=np.int8)
     for row, text in enumerate(texts):
-        for term in terms_of(text) & wanted:
-            found[row, place[term]] = 1
+        hits = 0
+        for word in {w for w in WORD.findall(text.lower()) if w[: PREFIXES[0]] in heads}:
+            covering = [place[word]] if word in place else []
+            covering += [known[word[:n]] for n, known in beginnings if len(word) > n and word[:n] in known]
+            if covering:
+                hits += 1
+                found[row, covering] = 1
+        for i, number in enumerate(SEVERAL):
+            found[row, len(terms) + i] = hits >= number
         for i, pattern in enumerate(PATTERNS):
-            found[row, len(terms) + i] = pattern.search(text) is not None
-    found[:, -1] = -(found[:, : len(terms)] == 0).all(axis=1).astype(np.int8)
+            found[row, len(terms) + len(SEVERAL) + i] = pattern.search(text) is not None
+        found[row, -1] = -(hits == 0)
     return found
 
 
-def features(texts: list[str], terms: tuple[str, ...]) -> np.ndarray:
-    voted = votes(texts, terms).astype(float)
-    return np.hstack([voted, np.log1p(voted[:, : len(terms)].sum(axis=1, keepdims=True))])
+def label_model(voted: np.ndarray, weight: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Posterior probability that a text with such votes is toxic, for each row of votes, which stands for ``weight`` texts.
 
-
-def label_model(voted: np.ndarray, prior: float) -> np.ndarray:
-    """Posterior probability that each row of votes belongs to a toxic text.
-
-    Every voter has its own rates of votes for toxic and for clean texts. Voters of a group that is correlated beyond the
-    classes share one voice: a voter's evidence is divided by the sum of its residual correlations.
+    Every voter has its own rates of votes for toxic and for clean texts. Voters that are correlated beyond the classes
+    share one voice: a voter's evidence is divided by the sum of its residual correlations. ``anchor`` is where the
+    search begins, the share of toxic labels for these votes.
     """
     values = [voted == v for v in (-1, 0, 1)]
-    posterior = np.where((voted > 0).sum(1) > (voted < 0).sum(1), 0.9, 0.1) * 1.0
-    share = np.ones(voted.shape[1])
-    for turn in range(ROUNDS):
+    posterior = np.clip(anchor, 0.02, 0.98)
+    share = 1 / residual_correlations(voted.astype(float), weight, posterior).sum(1)
+    for _ in range(ROUNDS):
+        toxic, clean = weight * posterior, weight * (1 - posterior)
+        prior = np.clip(toxic.sum() / weight.sum(), 1e-4, 1 - 1e-4)
         evidence = np.full(len(voted), np.log(prior) - np.log1p(-prior))
-        toxic, clean = posterior.sum(), (1 - posterior).sum()
         for value in values:
-            up = (posterior @ value + 0.02) / (toxic + 0.06)
-            down = ((1 - posterior) @ value + 0.02) / (clean + 0.06)
+            up = (toxic @ value + 0.05) / (toxic.sum() + 0.15)
+            down = (clean @ value + 0.05) / (clean.sum() + 0.15)
             evidence += value @ (share * (np.log(up) - np.log(down)))
         before, posterior = posterior, _sigmoid(evidence)
-        if turn in (2, 6):
-            share = 1 / np.maximum(1, residual_correlations(voted.astype(float), posterior).sum(1))
-        prior = float(np.clip(posterior.mean(), 1e-4, 1 - 1e-4))
-        if turn > 7 and np.abs(posterior - before).max() < 1e-4:
+        if np.abs(posterior - before).max() < 1e-4:
             break
     return posterior
 
 
-def residual_correlations(voted: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-    """Correlations of the voters that the classes do not explain; weak ones, below 0.3, are set to 0."""
-    expected = sum(
-        np.outer(p, (p @ voted) / max(p.sum(), 1e-9)) for p in (posterior, 1 - posterior)
-    )
-    rest = voted - expected
-    spread = np.sqrt((rest**2).mean(0)) + 1e-9
-    found = np.abs((rest / spread).T @ (rest / spread)) / len(voted)
+def residual_correlations(voted: np.ndarray, weight: np.ndarray, posterior: np.ndarray) -> np.ndarray:
+    """Correlations of the voters that the classes do not explain; those below 0.3 are set to 0."""
+    expected = sum(np.outer(p, (weight * p) @ voted / max((weight * p).sum(), 1e-9)) for p in (posterior, 1 - posterior))
+    rest = (voted - expected) * np.sqrt(weight / weight.sum())[:, None]
+    spread = np.sqrt((rest**2).sum(0)) + 1e-9
+    found = np.abs((rest / spread).T @ (rest / spread))
     found[found < 0.3] = 0
     np.fill_diagonal(found, 1)
     return found
 
 
-def linear_classifier(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
+def linear_classifier(x: np.ndarray, weight: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels, by Newton's method."""
     x = np.hstack([x, np.ones((len(x), 1))])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-3
     w = np.zeros(x.shape[1])
-    for _ in range(25):
+    for _ in range(50):
         p = _sigmoid(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
-        w -= step
+        curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(curvature, x.T @ (weight * (p - y)) + ridge * w)
+        w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-6:
             break
     return w[:-1], float(w[-1])
@@ -177,7 +181,7 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """``(text, toxic)`` of at most about ``sample`` labelled documents outside the held-out fold, as a table."""
+    """``(text, toxic)`` of at most about ``sample`` labelled documents outside the held-out fold, as a table; copies count once."""
     usable = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
     usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     total = usable.count()
@@ -185,7 +189,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int) -> Dat
         usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit((1 << 20) * sample // total))
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # The sample has a bounded number of ids, whatever the size of the tables.
-    return staged(chosen.join(F.broadcast(usable), "doc_id").select("text", "toxic"), "toxicity-sample")
+    return staged(chosen.join(F.broadcast(usable), "doc_id").select("text", "toxic").distinct(), "toxicity-sample")
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -193,25 +197,25 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     toxic, total = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     if toxic in (0, total):
         share = toxic / total if total else 0.0
-        return Model((), (0.0,) * (len(PATTERNS) + 2), 30.0 if share else -30.0)
+        return Model((), (0.0,) * (len(SEVERAL) + len(PATTERNS) + 1), 30.0 if share else -30.0)
     counts = rows.mapInArrow(_term_batches, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    ratio = LEAST_ODDS * toxic / (total - toxic)
     counts = staged(counts.where(F.col("t") + F.col("c") >= LEAST_DOCUMENTS), "toxicity-terms")
-    standing_out = counts.where((F.col("t") >= LEAST_DOCUMENTS) & (F.col("t") > F.col("c") * ratio))
+    standing_out = counts.where((F.col("t") >= LEAST_DOCUMENTS) & (F.col("t") >= (F.col("t") + F.col("c")) * LEAST_PRECISION))
     found = standing_out.orderBy(F.desc(F.col("t") * F.col("t") / (F.col("c") + 1)), "term").limit(16 * TERMS).collect()
     terms = choose_terms([tuple(r) for r in found], toxic, total - toxic, counts.count())
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [v.tobytes() for v in votes(batch.column("text").to_pylist(), terms)]
-            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["votes"])
-
-    patterns = rows.select("text").mapInArrow(vote, "votes binary").groupBy("votes").count().orderBy("votes").collect()
-    unique = np.stack([np.frombuffer(r.votes, dtype=np.int8) for r in patterns])
-    voted = np.repeat(unique, [r["count"] for r in patterns], axis=0)
-    posterior = label_model(voted, toxic / total)
-    hits = np.log1p((voted[:, : len(terms)] > 0).sum(axis=1, keepdims=True))
-    weights, constant = linear_classifier(np.hstack([voted.astype(float), hits]), posterior)
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("toxic")], ["votes", "toxic"])
+
+    # At most as many rows as the sample has.
+    seen = rows.mapInArrow(vote, "votes binary, toxic int").groupBy("votes").agg(F.count(F.lit(1)).alias("n"), F.avg("toxic").alias("toxic"))
+    seen = seen.orderBy("votes").collect()
+    voted = np.stack([np.frombuffer(r.votes, dtype=np.int8) for r in seen])
+    weight = np.array([r.n for r in seen], dtype=float)
+    posterior = label_model(voted, weight, np.array([r.toxic for r in seen]))
+    weights, constant = linear_classifier(voted.astype(float), weight, posterior)
     return Model(terms, tuple(weights.tolist()), constant)
 
 
