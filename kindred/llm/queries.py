@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, toxicity
+from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, topk, toxicity
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(rows.where("vec_id % 20 = 0"), rows, 20)
+
+
+ORACLES["op3_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
