@@ -1,12 +1,11 @@
 """Exact top-k search by an impact-ordered index, a score at a time.
 
-Vectors are quantised to integers, and a score is an integer inner product. Vectors are dealt into blocks. The index of a block lists,
-for every dimension, its vectors in the order of their values. For a query, what a dimension adds to a score beyond its least
-contribution in the block is the impact of a posting; since a list is in the order of impacts, the postings of all lists
-whose impacts lie between two levels are one segment of each list. Levels are taken in falling order, and impacts are
-summed up per vector. After each level, no vector can gain more than the level, or what is left of a list, per dimension; when too few
-vectors are left that can still reach the k-th best score known, that is proof, and the vectors that may be members are scored
-exactly. The k-th best score is first that of the k vectors that lead after the first levels.
+Vectors are quantised to integers, and a score is an integer inner product. Vectors are dealt into blocks. The postings of a block,
+one per vector and dimension, are ordered by their impact, the magnitude of the value, and cut into segments by quantised impact.
+For many queries at once, segments are processed in falling order, and sums kept per query and vector. After each segment,
+no sum can gain more than the length of what is left of the vector times that of the query. Processing stops on proof
+only: when few vectors are left that can still reach the k-th best score known, or when nothing is left. Those vectors are scored exactly. The k-th
+best score known is that of the leaders after the first segment.
 
 Query blocks meet row blocks in cells of bounded size, each a task of its own; the k best of each cell are merged.
 
@@ -29,8 +28,10 @@ from kindred.session import staged
 
 SCALE = 64
 ROW_BLOCK, QUERY_BLOCK = 16_384, 1_024
-LEVELS = 6  # each half of the one before; then what is left
+QUERIES_AT_ONCE = 64
+SEGMENTS = (0.6, 0.25, 0.0)  # shares of the postings that have less impact than a segment's
 MEMBERS = 0.02  # share of a block that is scored exactly at once
+EXACT = 2.0**53  # sums of products below this are exact in double precision
 BOUND = float(2**28)
 
 
@@ -46,58 +47,61 @@ def quantised(vector: Column, scale: int = SCALE) -> Column:
 
 
 class ImpactIndex:
-    """The postings of a block of integer vectors, by dimension in the order of values."""
+    """The postings of a block of integer vectors, in segments of falling impact.
+
+    The impact of a posting is the magnitude of its value, quantised to the ``SEGMENTS``: a segment is held as the vectors
+    with zeros in place of the postings of other segments, so that a segment is processed for many queries at once.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)  # dimension, place
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
-
-    def search(self, query: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the ``k`` best vectors, and of all that tie with the last; ``own`` are left out."""
-        n, dims = self.vectors.shape
-        least = np.where(query >= 0, query * self.values[:, 0], query * self.values[:, -1])
-        most = np.where(query >= 0, query * self.values[:, -1], query * self.values[:, 0]) - least
-        base, sums = int(least.sum()), np.zeros(n)
-        done = np.zeros(dims, dtype=np.int64)  # postings taken from each list, from its end of high impacts
-        level, threshold = float(most.max(initial=0)), -math.inf
-        for step in range(LEVELS + 1):
-            level = level / 2 if step < LEVELS else -1.0
-            ids, impacts, left = [], [], 0.0
-            for d in np.flatnonzero(most > level):
-                weight, values = query[d], self.values[d]
-                # Impacts above the level are at the end of the list, or at its beginning for a negative weight.
-                if weight > 0:
-                    start = int(np.searchsorted(values, (level + least[d]) / weight, side="right")) if step < LEVELS else 0
-                    part = slice(start, n - done[d])
-                    done[d] = n - start
-                else:
-                    stop = int(np.searchsorted(values, (level + least[d]) / weight, side="left")) if step < LEVELS else n
-                    part = slice(done[d], stop)
-                    done[d] = stop
-                ids.append(self.order[d, part])
-                impacts.append(weight * values[part] - least[d])
-            if ids:
-                sums += np.bincount(np.concatenate(ids), weights=np.concatenate(impacts), minlength=n)
-            if step == LEVELS:
-                break
-            if step < 2:
+        impacts = np.abs(vectors)
+        limits = [float(np.quantile(impacts, share)) if impacts.size else 0.0 for share in SEGMENTS]
+        self.segments, self.left = [], []
+        above = np.zeros(vectors.shape, dtype=bool)
+        for limit in limits:
+            here = (impacts >= limit) & ~above
+            above |= here
+            self.segments.append(np.where(here, vectors, 0.0))
+            # The length of what has not been processed of each vector.
+            self.left.append(np.sqrt((np.where(above, 0, vectors).astype(float) ** 2).sum(1)))
+
+    def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the places and exact scores of the ``k`` best vectors and of all that tie with the last.
+
+        ``own`` is a mask of the vectors that are no candidates of a query.
+        """
+        n = len(self.vectors)
+        sums = np.where(own, -np.inf, 0.0)
+        lengths = np.sqrt((queries.astype(float) ** 2).sum(1)) * (1 + 1e-9)
+        threshold = np.full(len(queries), -np.inf)
+        gain = np.zeros(sums.shape)
+        for step, (segment, left) in enumerate(zip(self.segments, self.left)):
+            sums += queries @ segment.T
+            if n <= 2 * k:
                 continue
-            if threshold == -math.inf:
-                leaders = np.argpartition(-sums, min(n - 1, k + len(own)))[: k + len(own)]
-                scores = np.sort(self.vectors[np.setdiff1d(leaders, own)] @ query)[::-1]
-                threshold = scores[k - 1] if len(scores) >= k else -math.inf
-            left = float(np.minimum(most, max(level, 0.0)).sum())
-            if (base + sums + left >= threshold).sum() <= max(4 * k, MEMBERS * n):
+            if step == 0:
+                # The exact scores of the leaders: the k-th best score is not below the k-th of theirs.
+                leaders = np.argpartition(-sums, k, axis=1)[:, : k + 1]
+                for i, places in enumerate(leaders):
+                    known = np.sort((self.vectors[places] @ queries[i])[~own[i, places]])
+                    threshold[i] = known[-k] if len(known) >= k else -np.inf
+            # No vector can gain more than the product of the lengths of what is left of it and of the query.
+            gain = np.outer(lengths, left)
+            if ((sums + gain >= threshold[:, None]).sum(1) <= max(4 * k, MEMBERS * n)).all():
                 break
         else:
-            left = 0.0
-        members = np.setdiff1d(np.flatnonzero(base + sums + (left if step < LEVELS else 0.0) >= threshold), own)
-        scores = self.vectors[members] @ query
-        if len(scores) > k:
-            kept = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-            members, scores = members[kept], scores[kept]
-        return members, scores
+            gain = np.zeros(1)
+        members = sums + gain >= threshold[:, None]
+        found = []
+        for i, row in enumerate(members & ~own):
+            places = np.flatnonzero(row)
+            scores = self.vectors[places].astype(np.int64) @ queries[i].astype(np.int64)
+            if len(scores) > k:
+                kept = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                places, scores = places[kept], scores[kept]
+            found.append((places, scores))
+        return found
 
 
 def _matrix(packed: pd.Series) -> np.ndarray:
@@ -113,15 +117,21 @@ def _cell_search(k: int):
     def search(cell: pd.DataFrame) -> pd.DataFrame:
         queries, rows = cell[cell["asks"]], cell[~cell["asks"]]
         both = _matrix(pd.concat([rows["vector"], queries["vector"]]))
-        ids = rows["vec_id"].to_numpy()
+        ids, asking = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
+        widest = np.abs(both).max(axis=0, initial=0).astype(float)
+        exact = (widest**2).sum() < EXACT
         index, asked = ImpactIndex(both[: len(rows)]), both[len(rows) :]
         found = []
-        for query_id, query in zip(queries["vec_id"], asked):
-            if not len(ids):
-                break
-            places, scores = index.search(query, k, np.flatnonzero(ids == query_id))
-            first = np.lexsort((ids[places], -scores))[:k]
-            found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[places][first], "score": scores[first].astype(np.int64)}))
+        for start in range(0, len(asked) if len(ids) else 0, QUERIES_AT_ONCE):
+            part = slice(start, start + QUERIES_AT_ONCE)
+            own = asking[part, None] == ids[None, :]
+            if exact:
+                best = index.search(asked[part].astype(float), k, own)
+            else:  # sums in double precision would be rounded: take all scores as integers
+                best = [(np.flatnonzero(~o), index.vectors[~o] @ q) for o, q in zip(own, asked[part])]
+            for query_id, (places, scores) in zip(asking[part], best):
+                first = np.lexsort((ids[places], -scores))[:k]
+                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[places][first], "score": scores[first].astype(np.int64)}))
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return pd.concat(found) if found else empty
 
