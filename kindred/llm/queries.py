@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, topk, toxicity
+from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, topk, toxicity, vector_graph
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +159,8 @@ scored AS (
 ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
