@@ -17,11 +17,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Tasks that run Python import this package: from here, unless the cluster names another place."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 def query(build: Query) -> Query:
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Tasks that run Python import this package: from here, unless the cluster has it installed elsewhere.
-        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        reach_workers(spark)
         return build(spark, sf_dir)
 
     QUERIES[build.__name__] = run

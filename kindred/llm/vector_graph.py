@@ -3,7 +3,7 @@
 1. Equal vectors are one class. Every class goes to the shards of the ``OVERLAP`` centroids nearest to it; the centroids are those of
    at most ``SAMPLE`` vectors, chosen by a hash.
 2. In each shard, every vector gets a list of near neighbours, robustly pruned: a neighbour that is much nearer to one already in
-   the list than to the vector itself is left out, so that lists point in all directions.
+   the list than to the vector itself is left out, so that lists point in all directions. A few links across the shard are added.
 3. The lists of a vector in its shards are united.
 4. In each shard, every vector is searched for on the united lists: greedily from the medoid, keeping the best ``BEAM`` found,
    then expanding through all that lie within the range and a margin around it, until nothing new is met. Cosines of what is
@@ -38,7 +38,7 @@ from kindred.session import staged
 THRESHOLD = 0.95
 MARGIN = 0.05  # how far below the threshold the search still expands
 OVERLAP, SHARD, PER_CENTROID, CENTROIDS, SAMPLE = 3, 4096, 700, 1024, 16_384
-NEIGHBOURS, DEGREE, PRUNE, BEAM = 32, 12, 1.2, 12
+NEIGHBOURS, DEGREE, PRUNE, LONG_LINKS, BEAM = 32, 12, 1.2, 3, 12
 AT_ONCE = 256
 RECALL, AUDITED = 0.97, 256
 
@@ -132,6 +132,21 @@ def pruned_neighbours(x: np.ndarray, neighbours: int = NEIGHBOURS, degree: int =
     return lists
 
 
+def with_long_links(lists: np.ndarray, links: int = LONG_LINKS) -> np.ndarray:
+    """The lists with ``links`` members each from all over the shard, and back from those: the vectors of a dense group are
+    all near to each other, and would else neither be left nor met."""
+    n = len(lists)
+    draw = np.random.default_rng(n).integers(0, n, size=(n, links))
+    back = np.full((n, 3 * links), -1, dtype=np.int64)
+    target, source = draw.ravel(), np.repeat(np.arange(n), links)
+    order = np.argsort(target, kind="stable")
+    target, source = target[order], source[order]
+    place = np.arange(len(target)) - np.searchsorted(target, target)
+    fits = place < back.shape[1]
+    back[target[fits], place[fits]] = source[fits]
+    return np.hstack([lists, draw, back])
+
+
 def range_search(x: np.ndarray, lists: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
     """``found[i, j]``: whether the search for ``i`` on the lists met ``j`` at no less than the threshold."""
     n = len(x)
@@ -187,7 +202,7 @@ def _forest(found: np.ndarray) -> np.ndarray:
 def _build(cell: pd.DataFrame) -> pd.DataFrame:
     cell = cell.sort_values("node", ignore_index=True)
     nodes = cell["node"].to_numpy()
-    lists = pruned_neighbours(unit_rows(cell["vector"]))
+    lists = with_long_links(pruned_neighbours(unit_rows(cell["vector"])))
     return pd.DataFrame({"node": nodes, "near": [nodes[row[row >= 0]] for row in lists]})
 
 
