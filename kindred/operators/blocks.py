@@ -17,59 +17,75 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.params import BLOCK_ROWS, MATCHES_PER_TASK, MAX_HOT_KEYS, MAX_TASKS
+from kindred.params import BLOCK_ROWS, BROADCAST_ROWS, MATCHES_PER_TASK, PAIRS_PER_PARTITION
+from kindred.session import staged
 
 
 @dataclass(frozen=True)
 class Groups:
     """What is known about the groups of ``key`` before they are joined.
 
-    ``hot`` has the columns ``(key, blocks_l, blocks_r)``, or is None if no group is hot.
+    ``hot`` is a table ``(key, blocks_l, blocks_r)`` of ``n_hot`` rows, or None if no group is hot. ``self_matches`` and
+    ``join_matches`` are the numbers of matches of the left side with itself and with the right one.
     """
 
     key: str
     hot: DataFrame | None
-    self_tasks: int
-    join_tasks: int
+    n_hot: int
+    self_matches: float
+    join_matches: float
+
+    @property
+    def self_tasks(self) -> int:
+        return self._tasks(self.self_matches)
+
+    @property
+    def join_tasks(self) -> int:
+        return self._tasks(self.join_matches)
+
+    def _tasks(self, matches: float) -> int:
+        return max(SparkSession.active().sparkContext.defaultParallelism, math.ceil(matches / MATCHES_PER_TASK))
 
 
 def measure_groups(key: str, left: DataFrame, right: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> Groups:
     """Count the groups of ``key`` in ``left``, and in ``right`` if they will be joined.
 
-    A hot group holds more than 1/MAX_HOT_KEYS of all rows on one side. So there are fewer than
-    MAX_HOT_KEYS of them however large the input is, and the table ``hot`` may be broadcast.
+    A group is hot if it has more than ``block_rows`` rows on one side, whatever the size of the input. The hot groups are
+    written as a table, since every join on the key reads them.
     """
     rows = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r"))
     if right is not None:
         rows = rows.unionAll(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
     counts = rows.groupBy(key).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    largest, left_n, right_n = F.greatest("l", "r"), F.col("l").cast("double"), F.col("r").cast("double")
+    is_hot = F.greatest("l", "r") > F.lit(block_rows)
+    left_n, right_n = F.col("l").cast("double"), F.col("r").cast("double")
     size = counts.agg(
-        F.coalesce(F.sum(F.col("l") + F.col("r")), F.lit(0)).alias("rows"),
-        F.coalesce(F.max(largest), F.lit(0)).alias("largest"),
+        F.count_if(is_hot).alias("n_hot"),
         F.coalesce(F.sum(left_n * (left_n + 1) / 2), F.lit(0.0)).alias("self_matches"),
         F.coalesce(F.sum(left_n * right_n), F.lit(0.0)).alias("join_matches"),
     ).first()
-    per_block = max(block_rows, size.rows / MAX_HOT_KEYS)
     hot = None
-    if size.largest > per_block:
-        blocks = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(per_block)), F.lit(1)).cast("int")
-        hot = counts.where(largest > F.lit(per_block))
-        hot = hot.select(key, blocks("l").alias("blocks_l"), blocks("r").alias("blocks_r"))
-    cores = left.sparkSession.sparkContext.defaultParallelism
-    tasks = lambda matches: min(MAX_TASKS, max(cores, math.ceil(matches / MATCHES_PER_TASK)))
-    return Groups(key, hot, tasks(size.self_matches), tasks(size.join_matches))
+    if size.n_hot:
+        blocks = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(block_rows)), F.lit(1)).cast("int")
+        hot = counts.where(is_hot).select(key, blocks("l").alias("blocks_l"), blocks("r").alias("blocks_r"))
+        hot = staged(hot, "hot-groups")
+    return Groups(key, hot, size.n_hot, size.self_matches, size.join_matches)
 
 
 def with_block(df: DataFrame, member: str, groups: Groups, side: str = "l") -> DataFrame:
-    """Add ``blocks_l`` and ``blocks_r`` of the row's group, and ``block``, the row's own one on its side."""
+    """Add ``blocks_l`` and ``blocks_r`` of the row's group, and ``block``, the row's own one on its side.
+
+    Up to ``BROADCAST_ROWS`` hot groups are broadcast. More are the hashed side of a shuffle: the rows of ``df`` are not
+    sorted, and adaptive execution may split a partition that a hot group fills.
+    """
     one = F.lit(1)
     if groups.hot is None:
         return df.withColumns({"blocks_l": one, "blocks_r": one, "block": F.lit(0)})
-    found = df.join(F.broadcast(groups.hot), groups.key, "left")
+    hot = F.broadcast(groups.hot) if groups.n_hot <= BROADCAST_ROWS else groups.hot.hint("shuffle_hash")
+    found = df.join(hot, groups.key, "left")
     blocks = {name: F.coalesce(name, one) for name in ("blocks_l", "blocks_r")}
     own = F.pmod(F.xxhash64(member), blocks[f"blocks_{side}"]).cast("int")
     return found.withColumns({**blocks, "block": own})
@@ -117,3 +133,14 @@ def group_self_join(df: DataFrame, groups: Groups, member: str) -> DataFrame:
     left = left.repartition(groups.self_tasks, *keys).select(*keys, *[F.col(c).alias(f"{c}_l") for c in others])
     right = right.repartition(groups.self_tasks, *keys).select(*keys, *[F.col(c).alias(f"{c}_r") for c in others])
     return left.join(right, keys).where(once).drop("cell_l", "cell_r")
+
+
+def dealt(df: DataFrame, rows: float, *keys: str) -> DataFrame:
+    """Deal rows out by the keys to as many partitions as ``rows`` of them need, if the session's setting has too few.
+
+    An aggregation or a join on the same keys that follows needs no other shuffle. Below that number, the shuffle is left to them:
+    they combine rows before it.
+    """
+    partitions = math.ceil(rows / PAIRS_PER_PARTITION)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys) if partitions > usual else df

@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.functions import pair_key
-from kindred.params import BYTES_PER_SIMILARITY, RANK_LIMIT, RANKED_ROWS
+from kindred.params import BYTES_PER_SIMILARITY, RANK_LIMIT
 
 
 def both_directions(sims: DataFrame) -> DataFrame:
@@ -18,44 +17,29 @@ def both_directions(sims: DataFrame) -> DataFrame:
     return sims.where(F.col("u") != F.col("v")).select(F.inline(either))
 
 
-def _nearly_ranked(directed: DataFrame) -> DataFrame:
-    """Sort each partition by one long, user above and similarity below: a radix sort. The sort by user,
-    similarity and id that the ranking needs then meets rows in nearly the right order, which halves
-    its time. It decides the ranks, so rounding here is harmless."""
-    falling = (F.lit(1.0) - F.greatest(F.least("sim", F.lit(1.0)), F.lit(-1.0))) * (2**31 - 1)
-    return directed.sortWithinPartitions(pair_key(F.col("u"), falling.cast("long")))
-
-
 def _head(directed: DataFrame, group: list[str], k: int) -> DataFrame:
     """The first ``k`` rows of each group, with their ``rank``. Up to a ``k`` of 1000, Spark applies the
     limit in every task before the shuffle as well."""
     best = Window.partitionBy(*group).orderBy(F.desc("sim"), "v")
-    return _nearly_ranked(directed).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return directed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def nearest(directed: DataFrame, n_users: int, k: int, ranked_rows: int = RANKED_ROWS) -> DataFrame:
+def nearest(directed: DataFrame, n_users: int, k: int) -> DataFrame:
     """``(u, v, sim, pos)``: the neighbours with a non-zero similarity among the first ``k``.
 
     All other users are ranked by similarity, ties by id. Users in no pair have similarity zero and
     rank as one block between the positive and the negative similarities. They are not materialized:
     the negative ones are moved down by the size of that block.
 
-    If no user can have more neighbours than one task should sort, rank and count come from the same
-    sorted groups. Otherwise the neighbours are counted in a second pass, and only the ``k`` first of
-    them are ranked: a position is never better than the rank among the non-zero ones. For a large
-    ``k`` each user's neighbours are first cut into parts of bounded size, and these reduced to ``k``.
+    The neighbours of each user are counted, and only the ``k`` first of them are ranked: a position is never better than
+    the rank among the non-zero ones. Above the ``k`` up to which Spark limits a ranking by itself, each user's neighbours
+    are first cut into parts, and these reduced to ``k``; parts are chosen so that both steps sort equally few rows.
     """
-    if n_users <= ranked_rows:
-        user = Window.partitionBy("u")
-        rank = F.row_number().over(user.orderBy(F.desc("sim"), "v"))
-        ranked = _nearly_ranked(directed.repartition("u")).withColumn("rank", rank)
-        ranked = ranked.withColumn("n_listed", F.count(F.lit(1)).over(user))
-    else:
-        listed = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
-        if k > RANK_LIMIT:
-            parts = math.ceil(n_users / ranked_rows)
-            directed = _head(directed.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts))), ["u", "part"], k)
-        ranked = _head(directed, ["u"], k).join(listed, "u")
+    listed = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
+    if k > RANK_LIMIT:
+        parts = math.ceil(math.sqrt(max(n_users, 1) / k))
+        directed = _head(directed.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts))), ["u", "part"], k)
+    ranked = _head(directed, ["u"], k).join(listed, "u")
     zeros = F.lit(n_users - 1) - F.col("n_listed")
     pos = F.when(F.col("sim") > 0, F.col("rank")).otherwise(F.col("rank") + zeros).cast("long")
     return ranked.select("u", "v", "sim", pos.alias("pos")).where(F.col("pos") <= k)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import denormalized, pair_key, safe_ratio, symmetric_pair_key
-from kindred.operators.blocks import Groups, group_join
+from kindred.operators.blocks import Groups, dealt, group_join
 from kindred.operators.similarity import metric_column
 from kindred.params import RATING_HI, RATING_LO
 
@@ -24,11 +24,12 @@ def _keyed(evidence: DataFrame, pair: Column) -> DataFrame:
     return evidence.select("user_id", "item_id", "dev", pair.alias("pair"))
 
 
-def with_similarity(evidence: DataFrame, pairs: DataFrame, metrics: Sequence[str]) -> DataFrame:
+def with_similarity(evidence: DataFrame, pairs: DataFrame, metrics: Sequence[str], n_evidence: float = 0) -> DataFrame:
     """Attach the similarities of user and rater, one column per metric. A rater who shares no item
     with the user has no weight and is left out."""
     sims = pairs.select("pair", *[metric_column(m).alias(m) for m in metrics])
-    return _keyed(evidence, symmetric_pair_key(F.col("user_id"), F.col("rater"))).join(sims, "pair")
+    keyed = _keyed(evidence, symmetric_pair_key(F.col("user_id"), F.col("rater")))
+    return dealt(keyed, n_evidence, "pair").join(dealt(sims, n_evidence, "pair"), "pair")
 
 
 def with_neighbour(evidence: DataFrame, neighbours: DataFrame) -> DataFrame:
@@ -37,6 +38,15 @@ def with_neighbour(evidence: DataFrame, neighbours: DataFrame) -> DataFrame:
     return _keyed(evidence, pair_key(F.col("user_id"), F.col("rater"))).join(placed, "pair")
 
 
+def neighbour_evidence(test: DataFrame, normed: DataFrame, neighbours: DataFrame, n_evidence: float = 0) -> DataFrame:
+    """``(user_id, item_id, dev, sim, pos)``: for each row to predict, those of its user's neighbours who rated the item.
+
+    As many rows are looked up as the test rows have neighbours, however many raters their items have."""
+    asked = test.select("user_id", "item_id").join(neighbours.select(F.col("u").alias("user_id"), "v", "sim", "pos"), "user_id")
+    raters = normed.select(F.col("user_id").alias("v"), "item_id", "dev")
+    return dealt(asked, n_evidence, "v", "item_id").join(dealt(raters, n_evidence, "v", "item_id"), ["v", "item_id"]).drop("v")
+
+
 def metric_weights(metrics: Sequence[str]) -> dict[str, Column]:
     return {m: F.col(m) for m in metrics}
 

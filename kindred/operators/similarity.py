@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import first_of, rounded_similarity, second_of, symmetric_pair_key
-from kindred.operators.blocks import Groups, group_self_join
+from kindred.operators.blocks import Groups, dealt, group_join, group_self_join
 from kindred.params import BYTES_PER_SIMILARITY
 
 
@@ -23,12 +23,30 @@ def co_rated_pairs(normed: DataFrame, groups: Groups) -> DataFrame:
     the sum of both users' numbers of items.
     """
     ratings = normed.select("item_id", "user_id", "pre", "n_items")
-    matches = group_self_join(ratings, groups, "user_id")
-    pair = symmetric_pair_key(F.col("user_id_l"), F.col("user_id_r"))
-    return matches.groupBy(pair.alias("pair")).agg(
-        F.sum(F.col("pre_l") * F.col("pre_r")).alias("dot"),
-        F.count(F.lit(1)).alias("overlap"),
-        F.max(F.col("n_items_l") + F.col("n_items_r")).alias("sizes"),
+    return _summed(group_self_join(ratings, groups, "user_id"), groups.self_matches)
+
+
+def co_rated_pairs_of(wanted: DataFrame, normed: DataFrame, groups: Groups) -> DataFrame:
+    """The co-rated pairs with a user of ``wanted``, as :func:`co_rated_pairs` gives them. ``groups`` has their ratings on the left
+    and all ratings on the right."""
+    ratings = normed.select("item_id", "user_id", "pre", "n_items")
+    asked = wanted.select("user_id", F.lit(True).alias("wanted"))
+    left = ratings.join(asked, "user_id", "left_semi")
+    right = ratings.join(asked.hint("shuffle_hash"), "user_id", "left").withColumn("wanted", F.col("wanted").isNotNull())
+    renamed = lambda df, side: df.withColumnsRenamed({c: f"{c}_{side}" for c in df.columns if c != "item_id"})
+    matches = group_join(renamed(left, "l"), renamed(right, "r"), groups, ("user_id_l", "user_id_r"))
+    # A pair of two wanted users is met from both sides.
+    return _summed(matches.where(~F.col("wanted_r") | (F.col("user_id_l") <= F.col("user_id_r"))), groups.join_matches)
+
+
+def _summed(matches: DataFrame, n_matches: float) -> DataFrame:
+    keyed = matches.select(
+        symmetric_pair_key(F.col("user_id_l"), F.col("user_id_r")).alias("pair"),
+        (F.col("pre_l") * F.col("pre_r")).alias("product"),
+        (F.col("n_items_l") + F.col("n_items_r")).alias("sizes"),
+    )
+    return dealt(keyed, n_matches, "pair").groupBy("pair").agg(
+        F.sum("product").alias("dot"), F.count(F.lit(1)).alias("overlap"), F.max("sizes").alias("sizes")
     )
 
 

@@ -11,6 +11,7 @@ VALUES_PER_NEIGHBOUR = 3
 K_VALUES = (10, 30, 50, 100, 200, 300, 400, 800, 943)
 RECOMMEND_K_VALUES = (30, 300)
 TOP_N = 5
+TIMING_RUNS = 5
 EXPECTED_TRAIN_ROWS = 80000
 EXPECTED_TEST_ROWS = 20000
 EXPECTED_RATINGS_ROWS = 100000
@@ -20,20 +21,21 @@ EXPECTED_CATALOG_ROWS = 1682
 # partial sums arrive can neither create a non-zero similarity nor break a tie.
 SIMILARITY_DECIMALS = 10
 
+# Predictions are rounded before they are ranked or compared with the highest rating, for the same reason.
+PREDICTION_DECIMALS = 6
+
 # Largest number of ratings of one item that are joined with each other in one group. Items above it
-# are spread over a grid of groups of this size.
+# are spread over a grid of groups of this size, at any size of the input.
 BLOCK_ROWS = 1024
 
-# An item is treated as hot only if it also holds more than 1/MAX_HOT_KEYS of all rows, so there are
-# never more than MAX_HOT_KEYS of them: this is what bounds the broadcast table of hot items.
-MAX_HOT_KEYS = 100_000
+# Number of matches within groups that one task of a join produces.
+MATCHES_PER_TASK = 10_000_000
+
+# Rows of two or three numbers that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
-# Largest number of neighbours of one user that one task ranks without pruning them before the shuffle.
-RANKED_ROWS = 1_000_000
+# Rows of pairs that one partition may hold after a shuffle.
+PAIRS_PER_PARTITION = 10_000_000
 
 # Largest k for which Spark limits a ranking before the shuffle, by its own default.
 RANK_LIMIT = 1000
-
-# Number of matches within groups that one task of a join produces, and the largest number of tasks.
-MATCHES_PER_TASK = 10_000_000
-MAX_TASKS = 20_000

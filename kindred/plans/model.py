@@ -15,6 +15,7 @@ from kindred.operators.neighbours import both_directions, nearest
 from kindred.operators.normalize import normalized_ratings, user_stats, with_user_avg
 from kindred.operators.predict import (
     metric_weights,
+    neighbour_evidence,
     neighbour_weights,
     predictions,
     rater_evidence,
@@ -23,11 +24,17 @@ from kindred.operators.predict import (
     with_similarity,
 )
 from kindred.operators.recommend import personal_predictions, personal_similarities, with_personal
-from kindred.operators.similarity import co_rated_pairs, similarities
+from kindred.operators.similarity import co_rated_pairs, co_rated_pairs_of, similarities
 from kindred.params import BLOCK_ROWS, RATING_HI, RATING_LO
 from kindred.session import staged
 
 
+def require_narrow_ids(*tables: DataFrame) -> None:
+    for df in tables:
+        if dict(df.dtypes)["user_id"] not in ("int", "smallint", "tinyint"):
+            raise ValueError("user_id must be a 32-bit integer: two of them make the key of a pair")
+
+
 @dataclass
 class Model:
     """Training ratings, and the ratings to predict: ``(user_id, item_id, rating)`` each.
@@ -43,9 +50,7 @@ class Model:
     block_rows: int = BLOCK_ROWS
 
     def __post_init__(self) -> None:
-        for df in (self.train, self.test):
-            if dict(df.dtypes)["user_id"] not in ("int", "smallint", "tinyint"):
-                raise ValueError("user_id must be a 32-bit integer: two of them make the key of a pair")
+        require_narrow_ids(self.train, self.test)
 
     def fit(self) -> Model:
         self.normed, self.items, self.n_users  # noqa: B018
@@ -78,9 +83,32 @@ class Model:
     def keep_pairs(self) -> Model:
         """The same model with its pairs written as a table, for jobs that read them more than once."""
         kept = copy(self)
-        kept.pairs = staged(self.pairs, "pairs")
+        kept.pairs = kept.needed_pairs = staged(self.pairs, "pairs")
         return kept
 
+    @cached_property
+    def test_users(self) -> DataFrame:
+        """The users to predict for that have training ratings, as a table."""
+        known = self.test.select("user_id").distinct().join(self.stats.select("user_id"), "user_id", "left_semi")
+        return staged(known, "test-users")
+
+    @cached_property
+    def n_test_users(self) -> int:
+        return self.test_users.count()
+
+    @cached_property
+    def n_test(self) -> int:
+        return self.test.count()
+
+    @cached_property
+    def needed_pairs(self) -> DataFrame:
+        """The co-rated pairs that predictions read: those of the test users. If these are half of all users or more, pairing all
+        users, each pair once, is less work."""
+        if 2 * self.n_test_users > self.n_users:
+            return self.pairs
+        theirs = self.train.join(self.test_users, "user_id", "left_semi")
+        return co_rated_pairs_of(self.test_users, self.normed, measure_groups("item_id", theirs, self.train, self.block_rows))
+
     @cached_property
     def test_rows(self) -> DataFrame:
         return with_user_avg(self.test, self.stats)
@@ -92,14 +120,29 @@ class Model:
     def neighbours(self, k: int) -> DataFrame:
         return nearest(both_directions(similarities(self.pairs)), self.n_users, k)
 
+    def test_neighbours(self, k: int) -> DataFrame:
+        """The neighbours of the test users only."""
+        directed = both_directions(similarities(self.needed_pairs))
+        if self.n_test_users < self.n_users:
+            directed = directed.join(self.test_users.withColumnRenamed("user_id", "u").hint("shuffle_hash"), "u", "left_semi")
+        return nearest(directed, self.n_users, k)
+
     def metric_deviations(self, *metrics: str) -> DataFrame:
         """The test rows with one weighted-deviation column per metric."""
-        weighted = with_similarity(self.evidence, self.pairs, metrics)
+        weighted = with_similarity(self.evidence, self.needed_pairs, metrics, self.items.join_matches)
         return weighted_deviation(self.test_rows, weighted, metric_weights(metrics))
 
     def neighbour_deviations(self, k_values: Sequence[int]) -> DataFrame:
-        """The test rows with one weighted-deviation column ``k<k>`` per k, from one ranking."""
-        weighted = with_neighbour(self.evidence, self.neighbours(max(k_values)))
+        """The test rows with one weighted-deviation column ``k<k>`` per k, from one ranking.
+
+        The evidence is looked up by the raters of the items, or by the neighbours of the users, whichever are fewer: never
+        more rows than test rows times the largest k."""
+        near = self.test_neighbours(max(k_values))
+        by_neighbour = float(self.n_test) * max(k_values)
+        if self.items.join_matches <= by_neighbour:
+            weighted = with_neighbour(self.evidence, near)
+        else:
+            weighted = neighbour_evidence(self.test, self.normed, near, by_neighbour)
         return weighted_deviation(self.test_rows, weighted, neighbour_weights(k_values))
 
     def predict(self, *metrics: str) -> DataFrame:
@@ -122,26 +165,39 @@ class PersonalModel:
     lo: float = RATING_LO
     hi: float = RATING_HI
 
+    def __post_init__(self) -> None:
+        require_narrow_ids(self.ratings, self.personal)
+
+    @cached_property
+    def mine(self) -> DataFrame:
+        """The user's ratings as a table, with those that are among all ratings already."""
+        known = self.ratings.where(F.col("user_id") == self.user_id)
+        return staged(with_personal(known, self.personal), "personal-ratings")
+
     @cached_property
-    def everyone(self) -> DataFrame:
-        return with_personal(self.ratings, self.personal)
+    def n_mine(self) -> int:
+        return self.mine.count()
+
+    @property
+    def others(self) -> DataFrame:
+        return self.ratings.where(F.col("user_id") != self.user_id)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return staged(user_stats(self.everyone, self.lo, self.hi), "user-stats")
+        return staged(user_stats(self.others.unionByName(self.mine), self.lo, self.hi), "user-stats")
 
     @cached_property
     def n_users(self) -> int:
         return self.stats.count()
 
     def neighbours(self, k: int) -> DataFrame:
-        sims = personal_similarities(self.everyone, self.stats, self.user_id, self.lo, self.hi)
+        sims = personal_similarities(self.others, self.mine, self.n_mine, self.stats, self.user_id, self.lo, self.hi)
         return nearest(sims, self.n_users, k)
 
     def predict(self, *k_values: int) -> DataFrame:
         """``(item_id, k<k>...)`` for the items that the user has not rated."""
-        near = self.neighbours(max(k_values))
-        return personal_predictions(self.everyone, self.stats, near, self.user_id, k_values, self.lo, self.hi)
+        near = staged(self.neighbours(max(k_values)), "personal-neighbours")
+        return personal_predictions(self.others, self.mine, self.stats, near, self.user_id, k_values, self.lo, self.hi)
 
 
 def named(predicted: DataFrame, column: str) -> DataFrame:

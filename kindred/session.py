@@ -43,13 +43,21 @@ def scratch_dir(spark: SparkSession) -> str:
         return f"{shared.rstrip('/')}/kindred-{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="kindred-"))
+    if app not in _local_scratch:
+        _local_scratch[app] = tempfile.mkdtemp(prefix="kindred-")
+    return _local_scratch[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; whatever reads them must be done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and return the table.
 

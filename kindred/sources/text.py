@@ -11,12 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.params import PERSONAL_USER_ID
-
-# The title runs from the first comma to the last one, so it may contain commas itself. The last
-# field is a rating, or blank if the item is not rated, or missing altogether.
-CATALOG_LINE = r"^\s*(\d+)\s*,(.*?)(?:,\s*(\d*\.?\d*)\s*)?$"
-
+from kindred.params import PERSONAL_USER_ID, RATING_HI, RATING_LO
 
 def _required(field: Column, type_name: str, line: Column) -> Column:
     parsed = F.trim(field).try_cast(type_name)
@@ -39,28 +34,34 @@ def write_ratings(ratings: DataFrame, path: str) -> None:
     ratings.select(F.concat_ws("\t", "user_id", "item_id", "rating").alias("value")).write.text(path)
 
 
-def _catalog_lines(spark: SparkSession, path: str) -> DataFrame:
+def _catalog_lines(spark: SparkSession, path: str, lo: float, hi: float) -> DataFrame:
+    """``(item_id, title, rating)``. The title runs from the first comma to the last one, so it may contain commas itself.
+    What follows the last one is a rating from ``lo`` to ``hi``, or blank if the item is not rated. A line
+    that is not like that fails the job, whichever of its fields is asked for."""
     line = F.col("value")
-    part = lambda group: F.regexp_extract(line, CATALOG_LINE, group)
-    return spark.read.text(path).select(
-        _required(part(1), "int", line).alias("item_id"),
-        F.trim(part(2)).alias("title"),
-        part(3).try_cast("double").alias("rating"),
-    )
-
-
-def read_personal(spark: SparkSession, path: str, user_id: int = PERSONAL_USER_ID) -> DataFrame:
+    first, last = F.substring_index(line, ",", 1), F.substring_index(line, ",", -1)
+    between = F.length(line) - F.length(first) - F.length(last) - 2  # negative unless there are two commas
+    title = F.trim(F.substring(line, F.length(first) + 2, F.greatest(between, F.lit(0))))
+    item, rating, blank = F.trim(first).try_cast("int"), F.trim(last).try_cast("double"), F.trim(last) == ""
+    valid = (between >= 0) & item.isNotNull() & (blank | F.coalesce(rating.between(lo, hi), F.lit(False)))
+    fields = F.struct(item.alias("item_id"), title.alias("title"), rating.alias("rating"))
+    kind = "struct<item_id:int,title:string,rating:double>"
+    failed = F.raise_error(F.concat(F.lit("malformed line: "), line)).cast(kind)
+    return spark.read.text(path).select(F.when(valid, fields).otherwise(failed).alias("f")).select("f.*")
+
+
+def read_personal(spark: SparkSession, path: str, user_id: int = PERSONAL_USER_ID, lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
     """The rated lines as ratings ``(user_id, item_id, rating)`` of one personal user."""
     return (
-        _catalog_lines(spark, path)
+        _catalog_lines(spark, path, lo, hi)
         .where(F.col("rating").isNotNull())
         .select(F.lit(user_id).cast("int").alias("user_id"), "item_id", "rating")
     )
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
     """All lines, rated or not, as ``(item_id, title)``."""
-    return _catalog_lines(spark, path).select("item_id", "title")
+    return _catalog_lines(spark, path, lo, hi).select("item_id", "title")
 
 
 def write_catalog(catalog: DataFrame, personal: DataFrame, path: str) -> None:

@@ -154,6 +154,7 @@ def _knn_predicted(select: str) -> str:
 
 ORACLES: dict[str, str] = {
     "ratings_scan": _with(_RATINGS, "SELECT * FROM ratings"),
+    "ratings_with_duplicate_lines": _with(_RATINGS, "SELECT * FROM ratings"),
     "personal_scan": _with(_RATINGS, "SELECT * FROM personal"),
     "catalog_scan": _with(_RATINGS, "SELECT * FROM catalog"),
     "row_count_check": _with(
@@ -185,10 +186,10 @@ ORACLES: dict[str, str] = {
         _TRAIN, "SELECT user_id, item_id, rating, ROUND(user_avg, 6) AS user_avg FROM test_avg"
     ),
     "user_vectors": _with(
-        _TRAIN, "SELECT user_id, COUNT(*)::BIGINT AS n_items, ROUND(SUM(pre), 6) + 0.0 AS sum_pre FROM normed GROUP BY 1"
+        _TRAIN, "SELECT user_id, item_id, ROUND(pre, 6) AS pre FROM normed"
     ),
     "item_raters": _with(
-        _TRAIN, "SELECT item_id, COUNT(*)::BIGINT AS n_raters, ROUND(SUM(dev), 6) + 0.0 AS sum_dev FROM normed GROUP BY 1"
+        _TRAIN, "SELECT item_id, user_id, ROUND(dev, 6) AS dev FROM normed"
     ),
     "cosine_similarity": _with(
         _PAIRS, f"SELECT u, v, {_rounded_again('cosine')} AS sim FROM sims WHERE u <= v AND cosine <> 0"
@@ -268,7 +269,8 @@ ORACLES: dict[str, str] = {
         _SWEPT,
         f"""SELECT s.k::INT AS k, ROUND(mae, 6) AS mae, (8 * n * LEAST(s.k, n - 1))::BIGINT AS bytes,
                    reference_k::INT AS lowest_k, ROUND(reference_mae - {BASELINE}, 6) AS lowest_k_minus_baseline,
-                   {RAM}::DOUBLE AS ram_bytes, ROUND({RAM}::DOUBLE / (reference_k * 24), 6) AS users_fit
+                   {RAM}::DOUBLE AS ram_bytes, ROUND({RAM}::DOUBLE / (reference_k * 24), 6) AS users_fit,
+                   ROUND({RAM}::DOUBLE / reference_k * 3 * 8, 6) AS users_fit_reference
             FROM sweep s, chosen, (SELECT COUNT(*) AS n FROM users)""",
     ),
     "ratings_with_personal": _with(_RATINGS, "SELECT * FROM ratings UNION ALL SELECT * FROM personal"),
