@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -120,7 +120,7 @@ def classify(tree: tuple | int, features: tuple) -> int:
     return tree
 
 
-@cache
+@lru_cache(maxsize=50_000)
 def _hinted(attributes: str) -> int:
     """2 for an element of reader comments, 1 for another that is not part of the article, 0 for others."""
     words = set()
