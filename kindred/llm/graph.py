@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.session import staged
 
+Verify = Callable[[DataFrame], DataFrame]
+MayLink = Callable[[Column, Column], Column]
+
 
 def _size_and_sum(edges: DataFrame) -> tuple[int, int]:
     found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -41,29 +44,48 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(centres)
 
 
-def linked_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _star_round(lists: DataFrame, verify: Verify, may_link: MayLink) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The pairs of each list's smallest member with the others, the links among them, and the lists that these links leave in
+    several components, as ``(item, node, trait, component, least)``."""
+    least = lists.groupBy("item").agg(F.min(F.struct("node", "trait")).alias("least"))
+    pairs = lists.join(least, "item").where("node > least.node").where(may_link(F.col("least.trait"), F.col("trait")))
+    pairs = staged(pairs.select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
+    links = staged(verify(pairs), "star-links")
+    labelled = lists.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = staged(labelled, "labelled-lists")
+    mixed = labelled.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("least"))
+    return pairs, links, staged(labelled.join(mixed.where("lo < hi").drop("lo", "hi"), "item"), "open-lists")
+
+
+def linked_lists(lists: DataFrame, verify: Verify, may_link: MayLink, describe: Verify, may_link_across: MayLink) -> DataFrame:
     """Components of the links among nodes that share a list: ``(node, component)`` for the linked nodes.
 
-    ``lists`` has ``(item, node)``, each pair once; ``verify`` reduces candidate pairs ``(a, b)``, ``a < b``, to those that
-    are linked. Every pair of nodes that share a list is either verified or already known to be connected:
+    ``lists`` has ``(item, node, trait)``, each pair of item and node once; a node always has the same trait. ``verify`` reduces
+    candidate pairs ``(a, b)``, ``a < b``, to those that are linked, and is only asked about pairs whose traits
+    ``may_link``. Every such pair of nodes that share a list is either verified or already known to be connected:
 
     1. each member of a list is verified against the smallest member only, which takes as many pairs as there are entries;
     2. the components of those links are looked up, and only in lists that still hold several components are
-       the pairs across components verified.
+       the pairs across components verified. For these lists ``describe`` adds traits that tell more, and no pair that
+       ``may_link_across`` rules out by them leaves the join.
 
     So a list of thousands of copies costs thousands of pairs, not millions, and no link is lost.
     """
-    least = lists.groupBy("item").agg(F.min("node").alias("a"))
-    first = lists.join(least, "item").where("node > a").select("a", F.col("node").alias("b")).distinct()
-    first = staged(first, "star-pairs")
-    links = staged(verify(first), "star-links")
-    known = components(links)
-    labelled = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = staged(labelled, "labelled-lists")
-    mixed = labelled.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_lists = staged(labelled.join(mixed.select("item"), "item"), "open-lists")
-    left = open_lists.select("item", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = open_lists.select("item", F.col("node").alias("b"), F.col("component").alias("cb"))
-    across = left.join(right, "item").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first, links, open_lists = _star_round(lists, verify, may_link)
+    open_lists, may_link = staged(describe(open_lists), "described-lists"), may_link_across
+    left = open_lists.select("item", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("trait").alias("ta"))
+    right = open_lists.select("item", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("trait").alias("tb"))
+    shared = (left["item"] == right["item"]) & (F.col("ca") < F.col("cb")) & may_link(F.col("ta"), F.col("tb"))
+    across = left.join(right, shared).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = verify(across.distinct().join(first, ["a", "b"], "left_anti"))
     return components(links.unionAll(staged(more, "more-links")))
+
+
+def settled_lists(lists: DataFrame, verify: Verify, may_link: MayLink, settle: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The same as :func:`linked_lists`, but without pairs in the second step: the lists that are still open are gathered into clusters,
+    the components of their members, and ``settle`` finds links ``(a, b)`` that connect what is linked in each cluster of
+    ``(node, cluster)``."""
+    _, links, open_lists = _star_round(lists, verify, may_link)
+    clusters = components(open_lists.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    more = settle(staged(clusters.withColumnRenamed("component", "cluster"), "clusters"))
+    return components(links.unionAll(staged(more, "more-links")))

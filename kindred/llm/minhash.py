@@ -11,7 +11,8 @@ the pairs that might be similar enough are compared on their full sets of words.
   rarest of its sketch: if two documents share 22 values, they share one of the 27 rarest of either. This keeps the
   passages that many documents share out of the lists, whatever their number, and it caps nothing.
 * Sets of at most 48 shingles are their own sketch, so nothing is estimated for them.
-* The lists of large groups of copies are not paired up: see :func:`kindred.llm.graph.linked_lists`.
+* The lists of large groups of copies are not paired up: see
+  :func:`kindred.llm.graph.settled_lists` and :func:`cluster_links`.
 
 Defined results: a text that is null or has no words has an empty set and is linked with nothing; one with fewer than five
 words has its whole sequence as its only shingle; a component's id is its smallest id, null if all its ids are null.
@@ -25,16 +26,18 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.graph import linked_lists
+from kindred.llm.graph import settled_lists
 from kindred.session import staged
 
 WORDS, SKETCH, SHARED = 5, 48, 22
 SIMILARITY = 75  # percent
 PIECE_BYTES = 1 << 20
+BLOCK, COLUMNS = 256, 4096
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -149,13 +152,16 @@ def needed(size: Column) -> Column:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """``(item, node)``: of every sketch, the rarest values that a similar one must share at least one of."""
-    values = classes.select("key", F.size("sketch").alias("size"), F.explode("sketch").alias("item"))
+    """``(item, node, trait)``: of every sketch, the rarest values that a similar one must share at least one of. The trait is the
+    number of shingles."""
+    values = classes.select("key", F.explode("sketch").alias("item"))
     shared = values.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ranked = values.join(shared, "item").groupBy("key", "size").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("common"))
+    ranked = values.join(shared, "item").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "item"))).alias("common"))
+    ranked = ranked.join(classes.select("key", "n_shingles", F.size("sketch").alias("size")), "key")
     # The values that no other sketch has are the rarest: they use up places of the prefix.
     kept = ranked.withColumn("places", F.size("common") - needed(F.col("size")) + 1).where("places > 0")
-    return kept.select(F.explode(F.slice("common", 1, F.col("places"))).alias("c"), F.col("key").alias("node")).select("c.item", "node")
+    entries = kept.select(F.explode(F.slice("common", 1, F.col("places"))).alias("c"), F.col("key").alias("node"), F.col("n_shingles").alias("trait"))
+    return entries.select("c.item", "node", "trait")
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -181,21 +187,88 @@ def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"])
 
 
+def sizes_may_link(a: Column, b: Column) -> Column:
+    """Sets of which one is too much larger than the other are not similar."""
+    return (a * 100 >= b * SIMILARITY) & (b * 100 >= a * SIMILARITY)
+
+
 def similar_pairs(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes that are similar: estimated from the sketch of the union, confirmed on the full sets."""
-    side = lambda name: classes.select(F.col("key").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (F.col("n_a") * 100 >= F.col("n_b") * SIMILARITY) & (F.col("n_b") * 100 >= F.col("n_a") * SIMILARITY)
-    )
+    side = lambda name: classes.select(F.col("key").alias(name), F.col("sketch").alias(f"s_{name}"))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     likely = staged(sized.where(both >= needed(F.size(union))).select("a", "b"), "likely-pairs")
-    keys = likely.select(F.col("a").alias("key")).unionAll(likely.select(F.col("b").alias("key"))).distinct()
-    keys = staged(keys, "likely-keys")
-    texts = documents.select(text_key().alias("key"), "text").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    texts = staged(texts, "likely-texts")
+    texts = class_texts(likely.select(F.explode(F.array("a", "b")).alias("key")).distinct(), documents)
+    return with_texts(likely, texts).mapInArrow(_confirm_batches, "a binary, b binary")
+
+
+def class_texts(keys: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(key, text)`` of the classes in ``keys``."""
+    rows = documents.select(text_key().alias("key"), "text").join(staged(keys, "wanted-keys"), "key", "left_semi")
+    return staged(rows.groupBy("key").agg(F.first("text").alias("text")), "class-texts")
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` with both texts."""
     text = lambda name: texts.select(F.col("key").alias(name), F.col("text").alias(f"text_{name}"))
-    return likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_confirm_batches, "a binary, b binary")
+    return pairs.join(text("a"), "a").join(text("b"), "b")
+
+
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each of the sets ``left`` has in common with each of the sets ``right``: a product of matrices of
+    ``COLUMNS`` shingles at a time, of those that occur in two sets at least."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    again = times[column] > 1
+    owner, column = owner[again], (np.cumsum(times > 1) - 1)[column[again]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(left), len(right)))
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[owner[part], column[part] - start] = 1
+        common += held[left] @ held[right].T
+    return common
+
+
+def _cell_links(cell: pd.DataFrame) -> pd.DataFrame:
+    """Links between the two blocks of a cell, or within its one block: a forest of them."""
+    keys, block = cell["node"].tolist(), cell["block"].to_numpy()
+    sets = list(shingle_sets(pa.array(cell["text"], pa.string())))
+    left, right = np.flatnonzero(block == cell["lo"].iloc[0]), np.flatnonzero(block == cell["hi"].iloc[0])
+    sizes = np.array([len(s) for s in sets], dtype=float)
+    linked = common_counts(sets, left, right) * (100 + SIMILARITY) >= SIMILARITY * (sizes[left][:, None] + sizes[right][None, :])
+    root = list(range(len(keys)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    edges = []
+    for a, b in zip(*(x.tolist() for x in np.nonzero(linked))):
+        a, b = find(int(left[a])), find(int(right[b]))
+        if a != b:
+            root[b] = a
+            edges.append((keys[a], keys[b]))
+    return pd.DataFrame(edges, columns=["a", "b"])
+
+
+def cluster_links(clusters: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that connect what is similar within each cluster, compared on full sets.
+
+    A cluster of more than ``BLOCK`` texts is cut into blocks, and each pair of blocks is a task of its own, of bounded size. Only
+    a forest of the links leaves it.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    members = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = members.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "block")
+    texts = class_texts(clusters.select(F.col("node").alias("key")), documents).withColumnRenamed("key", "node")
+    return cells.join(texts, "node").groupBy("cluster", "lo", "hi").applyInPandas(_cell_links, "a binary, b binary")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -204,7 +277,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = rows.where("n_shingles > 0").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     classes = staged(classes, "classes")
     lists = staged(inverted_lists(classes), "inverted-lists")
-    found = linked_lists(lists, lambda pairs: similar_pairs(pairs, classes, documents)).withColumnRenamed("node", "key")
+    verify = lambda pairs: similar_pairs(pairs, classes, documents)
+    found = settled_lists(lists, verify, sizes_may_link, lambda clusters: cluster_links(clusters, documents)).withColumnRenamed("node", "key")
     named = rows.drop("sketch").join(found, "key", "left").withColumn("class", F.coalesce("component", "key"))
     ids = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("first_id")).otherwise(F.col("doc_id"))
