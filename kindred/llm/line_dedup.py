@@ -8,7 +8,7 @@ a short line make another line of it. Shorter lines are removed only if they are
 Within t edits, one of t + 1 segments of the one line must appear in the other, near the same place. So every distinct line
 is cut into t + 1 segments that are indexed with its length, and probes the index of each length from its own down to t less with
 the substrings that can match: of segment i, those shifted by at most i edits on the left and t - i on the right. Pairs
-that meet are verified with a banded edit distance that keeps a column of the band as bits of one number. The lists of segments that
+that meet, and that agree in the counts of some letters and in smaller pieces as far as the edits allow, are verified with a banded edit distance that keeps a column of the band as bits of one number. The lists of segments that
 very many lines share are not paired up: see :func:`kindred.llm.graph.linked_lists`.
 
 Only built-in functions are used. A line is known by a 64-bit hash; among 10 million different lines, the chance that any two
@@ -21,6 +21,8 @@ an empty table. Other columns are carried along, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from kindred.session import staged
 
 MAX_EDITS = 2
 LEAST_CHARS = 30
+LETTERS = "entaoirs"
 BLANKS = " \t\r\v\f"
 
 
@@ -69,35 +72,48 @@ def _entry(length: Column, part: int, line: Column, start: Column, size: Column)
     return F.xxhash64(length, F.lit(part), F.substring(line, start, size))
 
 
-def segment_lists(lines: DataFrame, edits: int, least_chars: int) -> tuple[DataFrame, DataFrame]:
-    """``(item, node)`` of the index and of the probes, for distinct lines ``(node, length, own..., probe...)``."""
-    long_lines = lines.where(F.col("length") >= least_chars)
-    own = F.array(*[F.col(f"own{i}") for i in range(edits + 1)])
-    probes = F.array(*[F.col(f"probe{i}") for i in range(len(_probe_shifts(edits)))])
-    return (
-        long_lines.select(F.explode(own).alias("item"), "node"),
-        long_lines.select(F.explode(F.array_distinct(probes)).alias("item"), "node"),
-    )
+def letter_counts(line: Column) -> Column:
+    """How often each of eight letters occurs, up to 255, a byte each. An edit changes two of the counts by one at most."""
+    each = [F.least(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255)) for c in LETTERS]
+    return reduce(Column.bitwiseOR, [F.shiftleft(count.cast("long"), 8 * i) for i, count in enumerate(each)])
+
+
+def counts_differ(a: Column, b: Column) -> Column:
+    """The sum of the differences of the letter counts."""
+    byte = lambda x, i: F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))
+    return reduce(Column.__add__, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS))])
 
 
 def distinct_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``(node, n, length, own..., probe...)`` per distinct line: how often it occurs, and its entries in the index."""
-    length = F.char_length("line").alias("length")
-    line = F.col("line")
-    sized = lines.select(F.xxhash64("line").alias("node"), "line", length)
-    entries = {}
-    for i in range(edits + 1):
-        start, size = segment_bounds(F.col("length"), i, edits)
-        entries[f"own{i}"] = _entry(F.col("length"), i, line, start, size)
+    """``(node, n, length, letters, probe...)`` per distinct line: how often it occurs, and the index entries to probe.
+
+    Those of a line's own length without a shift are its own entries."""
+    line, length = F.col("line"), F.col("length")
+    sized = lines.select(F.xxhash64("line").alias("node"), "line", F.char_length("line").alias("length"), letter_counts(line).alias("letters"))
+    entries = []
     for i, (less, part, shift) in enumerate(_probe_shifts(edits)):
-        shorter = F.col("length") - less
-        start, size = segment_bounds(shorter, part, edits)
+        start, size = segment_bounds(length - less, part, edits)
         # A start before the line stands for no substring: its entry is one that no index has.
-        entries[f"probe{i}"] = F.when(start + shift >= 1, _entry(shorter, part, line, start + shift, size)).otherwise(F.col("node"))
-    rows = sized.select("node", "length", *[e.alias(name) for name, e in entries.items()])
+        entry = F.when(start + shift >= 1, _entry(length - less, part, line, start + shift, size)).otherwise(F.col("node"))
+        entries.append(entry.alias(f"probe{i}"))
+    rows = sized.select("node", "length", "letters", *entries)
     return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in rows.columns[1:]])
 
 
+def segment_lists(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
+    """``(item, node, trait)``: for each entry of the index that another line probes, all lines that have or probe it."""
+    long_lines = lines.where(F.col("length") >= least_chars)
+    shifts = _probe_shifts(edits)
+    own = F.array(*[F.col(f"probe{i}") for i, (less, _, shift) in enumerate(shifts) if not less and not shift])
+    probes = F.array_distinct(F.array(*[F.col(f"probe{i}") for i in range(len(shifts))]))
+    index = long_lines.select(F.explode(own).alias("item"), F.col("node").alias("other"))
+    index = index.groupBy("item").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
+    # Lists are not sorted: their entries, most of which nobody else probes, are looked up in a hash table.
+    met = long_lines.select(F.explode(probes).alias("item"), "node").join(index.hint("shuffle_hash"), "item").where("lo <> node or hi <> node")
+    members = met.select("item", F.explode(F.array("node", "lo")).alias("node")).distinct()
+    return members.join(lines.select("node", F.col("letters").alias("trait")), "node")
+
+
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether the character arrays ``a``, the longer, and ``b`` are at most ``edits`` edits apart.
 
@@ -151,31 +167,60 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(places, state, step, lambda s: s["distance"] <= edits)
 
 
+def pieces_match(longer: Column, shorter: Column, edits: int) -> Column:
+    """Whether all but ``edits`` of the pieces of the shorter line occur in the longer one, at most as many characters off: every edit
+    spoils one piece at most. Few pairs that are not close get beyond this."""
+    pieces = 4 * edits
+    size = F.floor(F.char_length(shorter) / pieces).cast("int")
+    found = F.lit(0)
+    for i in range(pieces):
+        start = size * i + 1
+        window = F.substring(longer, F.greatest(start - edits, F.lit(1)), size + 2 * edits)
+        found = found + F.contains(window, F.substring(shorter, start, size)).cast("int")
+    return found >= pieces - edits
+
+
+def line_texts(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(node, line)`` of the lines in ``nodes``."""
+    texts = _lines(documents).select(F.xxhash64("line").alias("node"), "line").join(staged(nodes.distinct(), "line-nodes"), "node", "left_semi")
+    return staged(texts.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
+
+
+def described(lists: DataFrame, documents: DataFrame) -> DataFrame:
+    """The lists with the lines themselves as a part of the trait."""
+    texts = line_texts(lists.select("node"), documents)
+    return lists.withColumnRenamed("trait", "letters").join(texts, "node").withColumn("trait", F.struct("letters", "line")).drop("letters", "line")
+
+
+def may_be_close(a: Column, b: Column, edits: int) -> Column:
+    lines = a["line"], b["line"]
+    swap = F.char_length(lines[0]) < F.char_length(lines[1])
+    longer, shorter = F.when(swap, lines[1]).otherwise(lines[0]), F.when(swap, lines[0]).otherwise(lines[1])
+    lengths = F.char_length(longer) - F.char_length(shorter) <= edits
+    return (counts_differ(a["letters"], b["letters"]) <= 2 * edits) & lengths & pieces_match(longer, shorter, edits)
+
+
 def close_pairs(pairs: DataFrame, documents: DataFrame, edits: int) -> DataFrame:
     """The pairs ``(a, b)`` of lines that are within ``edits`` edits."""
     pairs = staged(pairs, "line-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    nodes = staged(nodes, "line-nodes")
-    texts = _lines(documents).select(F.xxhash64("line").alias("node"), "line").join(nodes, "node", "left_semi")
-    texts = staged(texts.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
-    side = lambda name: texts.select(F.col("node").alias(name), F.split("line", "").alias(f"chars_{name}"))
+    texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), documents)
+    side = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"line_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    swap = F.size("chars_a") < F.size("chars_b")
-    both = both.select(
-        "a", "b", F.when(swap, F.col("chars_b")).otherwise(F.col("chars_a")).alias("longer"), F.when(swap, F.col("chars_a")).otherwise(F.col("chars_b")).alias("shorter")
-    ).where(F.size("longer") - F.size("shorter") <= edits)
-    return both.where(within_edits(F.col("longer"), F.col("shorter"), edits)).select("a", "b")
+    swap = F.char_length("line_a") < F.char_length("line_b")
+    longer, shorter = F.when(swap, F.col("line_b")).otherwise(F.col("line_a")), F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
+    both = both.select("a", "b", longer.alias("longer"), shorter.alias("shorter"))
+    both = both.where(F.char_length("longer") - F.char_length("shorter") <= edits).where(pieces_match(F.col("longer"), F.col("shorter"), edits))
+    chars = both.select("a", "b", F.split("longer", "").alias("longer"), F.split("shorter", "").alias("shorter"))
+    return chars.where(within_edits(F.col("longer"), F.col("shorter"), edits)).select("a", "b")
 
 
 def removed_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``(doc_id, text_hash, removed)``: the places of the removed lines, for the documents that have any."""
     distinct = staged(distinct_lines(_lines(documents), edits), "distinct-lines")
-    index, probes = segment_lists(distinct, edits, least_chars)
-    # Each line's own entries are among its probes. A list is of use if a probe meets another line in it.
-    indexed = index.withColumnRenamed("node", "other").groupBy("item").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
-    met = probes.join(indexed, "item").where("lo <> node or hi <> node")
-    members = staged(met.select("item", F.explode(F.array("node", "lo")).alias("node")).distinct(), "segment-lists")
-    found = linked_lists(members, lambda pairs: close_pairs(pairs, documents, edits))
+    lists = staged(segment_lists(distinct, edits, least_chars), "segment-lists")
+    may_link = lambda a, b: counts_differ(a, b) <= 2 * edits
+    verify, describe = lambda pairs: close_pairs(pairs, documents, edits), lambda left: described(left, documents)
+    found = linked_lists(lists, verify, may_link, describe, lambda a, b: may_be_close(a, b, edits))
     groups = distinct.select("node", "n").join(found, "node", "left").where("n > 1 or component is not null")
     groups = groups.select("node", F.coalesce("component", "node").alias("component"))
     places = _lines(documents).select("doc_id", "text_hash", "pos", F.xxhash64("line").alias("node")).join(staged(groups, "line-groups"), "node")
@@ -191,13 +236,15 @@ def dedup_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int =
     removed = staged(removed_lines(documents, edits, least_chars), "removed-lines")
     rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_hash"))
     same = rows["row.doc_id"].eqNullSafe(removed["doc_id"]) & (rows["text_hash"] == removed["text_hash"])
-    joined = rows.join(removed, same, "left").select("row", "removed")
-    lines = F.split("row.text", "\n")
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("removed", i)), "\n")
-    return joined.select(
+    # Whole texts are on the left: they are not sorted, but looked up in a hash table of the removed places.
+    joined = rows.join(removed.hint("shuffle_hash"), same, "left")
+    cut = joined.select("row", "removed", F.split("row.text", "\n").alias("lines"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
+    left = F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")
+    return cut.select(
         "row",
         F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(left).alias("text"),
-        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
     )
 
