@@ -204,14 +204,15 @@ def close_pairs(pairs: DataFrame, documents: DataFrame, edits: int) -> DataFrame
     """The pairs ``(a, b)`` of lines that are within ``edits`` edits."""
     pairs = staged(pairs, "line-pairs")
     texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), documents)
-    side = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"line_{name}"))
+    # Lines are cut into characters below the joins: a filter would be pushed below a projection that does so, and cut them again at
+    # every step of the distance.
+    texts = texts.withColumn("chars", F.split("line", ""))
+    side = lambda name: texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("line", "chars")])
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    swap = F.char_length("line_a") < F.char_length("line_b")
-    longer, shorter = F.when(swap, F.col("line_b")).otherwise(F.col("line_a")), F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
-    both = both.select("a", "b", longer.alias("longer"), shorter.alias("shorter"))
-    both = both.where(F.char_length("longer") - F.char_length("shorter") <= edits).where(pieces_match(F.col("longer"), F.col("shorter"), edits))
-    chars = both.select("a", "b", F.split("longer", "").alias("longer"), F.split("shorter", "").alias("shorter"))
-    return chars.where(within_edits(F.col("longer"), F.col("shorter"), edits)).select("a", "b")
+    swap = F.size("chars_a") < F.size("chars_b")
+    longer, shorter = ([F.when(swap, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")) for c in ("line", "chars")] for x, y in ("ba", "ab"))
+    may_be = (F.size(longer[1]) - F.size(shorter[1]) <= edits) & pieces_match(longer[0], shorter[0], edits)
+    return both.where(may_be).where(within_edits(longer[1], shorter[1], edits)).select("a", "b")
 
 
 def removed_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
