@@ -272,7 +272,7 @@ def cluster_links(clusters: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``(doc_id, key, n_shingles, component_id, kept)`` per document."""
+    """``(doc_id, key, n_shingles, class, component_id, kept)`` per document. Unlike the id, the class is a component's own."""
     rows = staged(sketches(documents), "sketches")
     classes = rows.where("n_shingles > 0").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     classes = staged(classes, "classes")
@@ -283,14 +283,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     ids = named.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
     own = F.when(F.col("n_shingles") > 0, F.col("first_id")).otherwise(F.col("doc_id"))
     joined = named.join(ids, "class", "left").withColumn("component_id", own)
-    return joined.select("doc_id", "key", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return joined.select("doc_id", "key", "n_shingles", "class", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each group, with all its columns; of documents without words, one per id and text."""
+    """One document of each group, with all its columns; of documents without words, one per id and text.
+
+    Groups are told apart by their class: several can have the same smallest id, or none. A class has its own keys, so the id and
+    the key of the document that stays name it.
+    """
     found = near_duplicates(documents).where("kept")
-    groups = found.groupBy("component_id", F.when(F.col("n_shingles") == 0, F.col("key")).alias("wordless"))
-    chosen = groups.agg(F.min("key").alias("key")).select("component_id", "key")
+    groups = found.groupBy("class", F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("wordless"))
+    chosen = groups.agg(F.first("component_id").alias("component_id"), F.min("key").alias("key")).select("component_id", "key")
     counted = found.groupBy("component_id", "key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
     same = lambda x, y: x["component_id"].eqNullSafe(y["component_id"]) & x["key"].eqNullSafe(y["key"])
     chosen = chosen.alias("x").join(counted.alias("y"), same(chosen, counted)).select("x.component_id", "x.key", "y.repeated")
