@@ -1,6 +1,7 @@
 """Best-fit packing of token sequences by bin completion, branch and bound.
 
-A document is its ids, by a file of a byte-level vocabulary (``byte_bpe_50k.tiktoken`` has the ids of ``byte_bpe_50k.json``), and an end id. Documents longer than a sequence are cut into full sequences, the first
+A document is its ids, by a file of a byte-level vocabulary (``byte_bpe_50k.tiktoken`` has the ids of ``byte_bpe_50k.json``, whose added tokens
+are one id each wherever a text holds them), and an end id. Documents longer than a sequence are cut into full sequences, the first
 piece taking what is left over. Pieces are dealt into groups of some thousands, each packed on its own: sequences are filled one after the
 other, each around the largest piece that is left. For that piece, the fillings of the remaining room are enumerated that no
 other filling dominates, those that waste least first; the search goes on with the best, and returns to the others
@@ -17,11 +18,13 @@ an empty table. Other columns are ignored; sequence ids say nothing but which pi
 from __future__ import annotations
 
 import base64
+import json
 import math
+import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pandas as pd
@@ -37,13 +40,18 @@ NODES, FILLINGS, LOOKS = 20_000, 6, 400
 
 @cache
 def encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """Ids of a text by a file of ranks; strings of special tokens are ordinary text."""
+    """Ids of a text by a file of ranks, and by the added tokens of the JSON file of the same name, if there is one."""
     import public_tokenizers
     import tiktoken
 
+    added, full = {}, os.path.splitext(public_tokenizers.path(vocabulary))[0] + ".json"
+    if os.path.exists(full):
+        with open(full, encoding="utf-8") as file:
+            added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
     with open(public_tokenizers.path(vocabulary), "rb") as file:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
-    return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return partial(encoding.encode, allowed_special=frozenset(added), disallowed_special=())
 
 
 def piece_bounds(length: int, capacity: int) -> list[tuple[int, int]]:
