@@ -9,7 +9,8 @@ tells blocks of the main text from others; these are joined in page order.
 The tree is small and is sent along with the tasks; a page is parsed once and never leaves its task.
 
 Defined results: a null or empty page, and one without main text, gives an empty text. Scripts, styles, comments and other raw
-content are dropped, also if they never end. Character references are decoded once, after the tags are gone. All white
+content are dropped, also if they never end. Embedded content and controls (svg, video, button and the like) are dropped with all they hold; one whose
+end tag is missing holds nothing. Character references are decoded once, after the tags are gone. All white
 space in a block, no-break spaces included, turns into single spaces. Repeated pages are extracted each; an empty table gives
 an empty table; other columns are ignored.
 """
@@ -25,7 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Names of HTML.
-RAW = "script|style|title|textarea|noscript|template|svg|math|iframe|object|select|button|audio|video|canvas"
+RAW = frozenset("script style title textarea".split())
+DROPPED = frozenset("noscript template svg math iframe object select button audio video canvas".split())
+BOXES = frozenset("button select textarea iframe title".split())
+FOREIGN = frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5"
@@ -43,10 +47,12 @@ ASIDE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond discussion disqus reviews".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']+|\"[^\"<]*\"|'[^'<]*')*+)/?>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']+|\"[^\"<]*\"|'[^'<]*')*+)/?>"
+    rf"|<(/?)({'|'.join(sorted(RAW | DROPPED))})(?=[\s/>])([^>]*)>|</?[a-zA-Z][^>]*>|<[!?][^>]*>",
     re.S | re.I,
 )
+# Where the text of a raw element ends; within svg and math at their end, too.
+RAW_END = {(name, inner): re.compile(rf"</({name}{'|svg|math' * inner})(?=[\s/>])", re.I) for name in RAW for inner in (False, True)}
 HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -130,6 +136,67 @@ def _hinted(attributes: str) -> int:
     return 2 if words & COMMENT_WORDS else 1 if words & ASIDE_WORDS else 0
 
 
+def _tokens(html: str) -> list[tuple[int, int, str, str, str]]:
+    """``(start, end, slash of an end tag, name, attributes)`` of tags and comments; a raw element is one token, with its text."""
+    tokens = []
+    at = foreign = 0
+    while found := TOKEN.search(html, at):
+        at = found.end()
+        slash, name, attributes = found[1] or found[4] or "", (found[2] or found[5] or "").lower(), found[3] or found[6] or ""
+        if (name in RAW or name in DROPPED) and attributes and not (attributes[0].isspace() or attributes[0] == "/"):
+            name = ""  # another element, whose name goes on
+        if name in FOREIGN:
+            if slash:
+                foreign = max(foreign - 1, 0)
+            elif attributes.endswith("/"):
+                name = ""  # empty
+            else:
+                foreign += 1
+        elif name in RAW and not slash and not (foreign and attributes.endswith("/")):
+            end = RAW_END[name, foreign > 0].search(html, at)
+            if end and end[1].lower() != name:
+                at = end.start()
+            else:
+                at = html.find(">", end.end()) + 1 if end else 0
+                at = at or len(html)
+        tokens.append((found.start(), at, slash, name, attributes))
+    return tokens
+
+
+def _push(open_tags: list[tuple], tag: tuple) -> None:
+    name = tag[0]
+    if name in ("p", "li", "option", "td", "th", "tr", "dt", "dd") and open_tags and open_tags[-1][0] == name:
+        open_tags.pop()
+    open_tags.append(tag)
+
+
+def _pop(open_tags: list[tuple], name: str) -> tuple | None:
+    """Closes the last open element of that name, and those within it."""
+    for at in range(len(open_tags) - 1, -1, -1):
+        if open_tags[at][0] == name:
+            closed = open_tags[at]
+            del open_tags[at:]
+            return closed
+    return None
+
+
+def _subtrees(tokens: list[tuple[int, int, str, str, str]]) -> dict[int, int]:
+    """The end tags of the elements that are dropped with all they hold, by their start tags.
+
+    One that is still open when an element around it ends has lost its end tag. It counts as empty, so that it takes nothing along.
+    """
+    ends: dict[int, int] = {}
+    open_tags: list[tuple[str, int]] = []
+    for i, (_, _, slash, name, _) in enumerate(tokens):
+        if not name or name in RAW or name in VOID:
+            continue
+        if not slash:
+            _push(open_tags, (name, i))
+        elif (closed := _pop(open_tags, name)) and name in DROPPED:
+            ends[closed[1]] = i
+    return ends
+
+
 def text_blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
     """``(text, words, percent of them in links, heading, aside, in the article)`` of each block that has text."""
     blocks: list[tuple[str, int, float, int, int, int]] = []
@@ -154,29 +221,27 @@ def text_blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
         if any(name == "a" for name, _ in open_tags):
             linked.append(text + " ")
 
-    at = 0
-    for found in TOKEN.finditer(html):
-        if found.start() > at:
-            add(html[at : found.start()])
-        at = found.end()
-        if found[1]:
-            if found[1].lower() in ("button", "select", "textarea", "iframe", "title"):
-                flush()
+    tokens = _tokens(html)
+    ends = _subtrees(tokens)
+    at, last = 0, -1
+    for i, (start, end, slash, name, attributes) in enumerate(tokens):
+        if i > last and start > at:
+            add(html[at:start])
+        at = end
+        if i <= last or not name:
             continue
-        name = (found[3] or "").lower()
-        if not name:
+        if name in RAW or name in DROPPED:
+            if name in BOXES:
+                flush()
+            last = ends.get(i, last)
             continue
         if name in BLOCK:
             flush()
-        if found[2]:
-            names = [n for n, _ in open_tags]
-            if name in names:
-                del open_tags[len(names) - 1 - names[::-1].index(name) :]
+        if slash:
+            _pop(open_tags, name)
         elif name not in VOID:
-            if name in ("p", "li", "option", "td", "th", "tr", "dt", "dd") and open_tags and open_tags[-1][0] == name:
-                open_tags.pop()
-            hint = _hinted(found[4]) if found[4] and len(found[4]) < 2000 else 0
-            open_tags.append((name, max(hint, int(name in ASIDE)) if name not in ("html", "body") else 0))
+            hint = _hinted(attributes) if attributes and len(attributes) < 2000 else 0
+            _push(open_tags, (name, max(hint, int(name in ASIDE)) if name not in ("html", "body") else 0))
     if at < len(html):
         add(html[at:])
     flush()
