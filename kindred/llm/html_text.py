@@ -3,7 +3,7 @@
 A page is cut into the text blocks between block-level tags. A block is described by its number of words and the share of them
 within links, by the same two numbers of its neighbours, and by where it stands: in a heading, in an element that is
 there for something else than the article (menu, header, footer, sidebar, notice, advert, form, comment; known by its tag, or by the
-words of its class, id and role), or within or outside the article of a page that marks one. A decision tree, trained on ``EXAMPLES``,
+words of its class, id and role, which say less of a wrapper that holds most of the page, and nothing of article and main elements), or within or outside the article of a page that marks one. A decision tree, trained on ``EXAMPLES``,
 tells blocks of the main text from others; these are joined in page order.
 
 The tree is small and is sent along with the tasks; a page is parsed once and never leaves its task.
@@ -18,6 +18,7 @@ an empty table; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -57,8 +58,11 @@ HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+WRAPPED = 0.5
+PARAGRAPH = 10
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "aside", "place")
-# Labelled blocks, in the order of FEATURES, then 1 for main text. Link shares are in percent. The place is 2 within a marked
+# Labelled blocks, in the order of FEATURES, then 1 for main text. Link shares are in percent. Aside is 1 in an element that is not part
+# of the article, and WRAPPED if nothing but the class words of a wrapper say so, which holds most of the page. The place is 2 within a marked
 # article, 0 outside the article of a page that marks one, and 1 on pages that mark none.
 EXAMPLES = (
     # Paragraphs of marked articles, long and short, with and without links.
@@ -78,11 +82,19 @@ EXAMPLES = (
     # What else there is on them: menus, link lists, and short lines next to those.
     (1, 100, 0, 0, 1, 100, 0, 0, 1, 0), (4, 100, 3, 100, 5, 100, 0, 0, 1, 0), (9, 90, 60, 0, 8, 100, 0, 0, 1, 0), (3, 0, 4, 100, 2, 100, 0, 0, 1, 0),
     (5, 0, 6, 100, 0, 0, 0, 0, 1, 0), (2, 0, 0, 0, 1, 100, 0, 0, 1, 0), (7, 70, 5, 100, 4, 100, 0, 0, 1, 0), (30, 80, 20, 90, 25, 85, 0, 0, 1, 0),
+    # Paragraphs, headings and short lines in a wrapper that is named after something else, then menus and link lists in it.
+    (80, 0, 10, 0, 70, 0, 0, WRAPPED, 1, 1), (40, 10, 60, 0, 30, 5, 0, WRAPPED, 1, 1), (16, 0, 50, 0, 45, 0, 0, WRAPPED, 1, 1), (6, 0, 4, 100, 65, 0, 1, WRAPPED, 1, 1),
+    (4, 0, 60, 0, 50, 0, 0, WRAPPED, 1, 1), (12, 0, 70, 0, 0, 0, 0, WRAPPED, 1, 1), (14, 0, 0, 0, 2, 0, 0, WRAPPED, 1, 1), (60, 20, 40, 0, 30, 10, 0, WRAPPED, 2, 1),
+    (90, 0, 12, 0, 40, 0, 0, WRAPPED, 2, 1), (7, 0, 60, 0, 40, 0, 1, WRAPPED, 2, 1), (1, 100, 0, 0, 1, 100, 0, WRAPPED, 1, 0), (9, 90, 60, 0, 8, 100, 0, WRAPPED, 1, 0),
+    (3, 0, 4, 100, 2, 100, 0, WRAPPED, 1, 0), (30, 80, 20, 90, 25, 85, 0, WRAPPED, 1, 0), (6, 100, 90, 0, 5, 100, 0, WRAPPED, 2, 0), (25, 0, 80, 0, 0, 0, 0, WRAPPED, 0, 0),
+    # Headings of related stories.
+    (6, 100, 5, 100, 8, 100, 1, 0, 1, 0), (9, 100, 70, 0, 20, 0, 1, 0, 2, 0), (8, 100, 25, 0, 22, 0, 1, 0, 0, 0),
     # Menus, headers, footers, sidebars, notices, adverts, forms and reader comments, some of them long.
     (1, 100, 0, 0, 1, 100, 0, 1, 1, 0), (5, 0, 1, 100, 9, 0, 0, 1, 0, 0), (14, 0, 60, 0, 0, 0, 0, 1, 0, 0), (90, 0, 40, 0, 30, 0, 0, 1, 2, 0),
     (35, 10, 120, 0, 10, 0, 0, 1, 2, 0), (6, 0, 10, 0, 50, 0, 1, 1, 2, 0), (200, 0, 8, 0, 15, 0, 0, 1, 1, 0), (60, 0, 50, 0, 70, 0, 0, 1, 0, 0),
     (3, 100, 4, 100, 5, 100, 0, 1, 0, 0), (18, 30, 5, 0, 7, 0, 0, 1, 1, 0), (4, 0, 70, 0, 80, 0, 0, 1, 2, 0), (2, 0, 60, 0, 40, 0, 0, 1, 2, 0),
     (9, 0, 6, 100, 80, 0, 1, 1, 1, 0), (45, 0, 80, 0, 60, 0, 0, 1, 1, 0), (16, 0, 50, 0, 45, 0, 0, 1, 1, 0), (120, 0, 12, 0, 90, 0, 0, 1, 2, 0),
+    (7, 100, 0, 0, 140, 0, 1, 1, 2, 0), (3, 100, 4, 100, 200, 0, 0, 1, 1, 0),
     # What else stands outside a marked article.
     (4, 0, 1, 100, 12, 0, 0, 0, 0, 0), (25, 0, 80, 0, 0, 0, 0, 0, 0, 0), (70, 0, 90, 0, 10, 0, 0, 0, 0, 0), (5, 100, 5, 100, 5, 100, 0, 0, 0, 0),
     (8, 0, 0, 0, 60, 0, 1, 0, 0, 0), (150, 2, 20, 0, 30, 0, 0, 0, 0, 0), (3, 0, 60, 0, 40, 0, 0, 0, 0, 0), (40, 0, 100, 0, 90, 0, 0, 0, 0, 0),
@@ -163,11 +175,10 @@ def _tokens(html: str) -> list[tuple[int, int, str, str, str]]:
     return tokens
 
 
-def _push(open_tags: list[tuple], tag: tuple) -> None:
-    name = tag[0]
+def _end_same(open_tags: list[tuple], name: str) -> None:
+    """An item, a cell or a paragraph ends where the next one begins."""
     if name in ("p", "li", "option", "td", "th", "tr", "dt", "dd") and open_tags and open_tags[-1][0] == name:
         open_tags.pop()
-    open_tags.append(tag)
 
 
 def _pop(open_tags: list[tuple], name: str) -> tuple | None:
@@ -191,28 +202,34 @@ def _subtrees(tokens: list[tuple[int, int, str, str, str]]) -> dict[int, int]:
         if not name or name in RAW or name in VOID:
             continue
         if not slash:
-            _push(open_tags, (name, i))
+            _end_same(open_tags, name)
+            open_tags.append((name, i))
         elif (closed := _pop(open_tags, name)) and name in DROPPED:
             ends[closed[1]] = i
     return ends
 
 
-def text_blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
+def text_blocks(html: str) -> list[tuple[str, int, float, int, float, int]]:
     """``(text, words, percent of them in links, heading, aside, in the article)`` of each block that has text."""
-    blocks: list[tuple[str, int, float, int, int, int]] = []
-    open_tags: list[tuple[str, int]] = []  # name, and 2 or 1 as in _hinted
+    blocks: list[tuple[str, int, float, int, bool, tuple[int, int], int]] = []
+    open_tags: list[tuple[str, tuple[int, int]]] = []  # name, and the last elements with hints of comments and of other asides
+    hints: dict[int, tuple[str, int, int]] = {}  # by the number of the start tag: name, as in _hinted, and the last such element before
+    titled: set[int] = set()  # the elements with hints of comments that hold an h1 or main
     parts: list[str] = []
     linked: list[str] = []
 
+    def last_hints() -> tuple[int, int]:
+        return open_tags[-1][1] if open_tags else (-1, -1)
+
     def flush() -> None:
         words = unescape("".join(parts)).split()
         if words:
             names = [name for name, _ in open_tags]
             start = max((i for i, name in enumerate(names) if name in MAIN), default=-1)
             # An article begins anew: an unclosed menu before it does not reach into it, but a thread of comments does.
-            aside = any(kind and (i >= start or kind == 2) for i, (_, kind) in enumerate(open_tags))
+            aside = any(i >= start and name in ASIDE for i, name in enumerate(names))
             share = 100.0 * len(unescape("".join(linked)).split()) / len(words)
-            blocks.append((" ".join(words), len(words), share, int(any(n in HEADINGS for n in names)), int(aside), int(start >= 0)))
+            blocks.append((" ".join(words), len(words), share, int(any(n in HEADINGS for n in names)), aside, last_hints(), int(start >= 0)))
         parts.clear()
         linked.clear()
 
@@ -241,16 +258,79 @@ def text_blocks(html: str) -> list[tuple[str, int, float, int, int, int]]:
             _pop(open_tags, name)
         elif name not in VOID:
             hint = _hinted(attributes) if attributes and len(attributes) < 2000 else 0
-            _push(open_tags, (name, max(hint, int(name in ASIDE)) if name not in ("html", "body") else 0))
+            if name in ("html", "body", "main") or name == "article" and hint == 1:
+                hint = 0
+            _end_same(open_tags, name)
+            thread, other = last_hints()
+            if name in ("h1", "main"):
+                while thread >= 0 and thread not in titled:
+                    titled.add(thread)
+                    thread = hints[thread][2]
+                thread = last_hints()[0]
+            if name in MAIN:
+                other = -1
+            if hint == 2:
+                hints[i], thread = (name, hint, thread), i
+            elif hint:
+                hints[i], other = (name, hint, other), i
+            open_tags.append((name, (thread, other)))
     if at < len(html):
         add(html[at:])
     flush()
-    return blocks
+    if not hints:
+        return [(*block[:4], int(block[4]), block[6]) for block in blocks]
+    wrappers = _wrappers([(words * (100 - share) / 100, last) for _, words, share, _, aside, last, _ in blocks if not aside], hints, titled)
+    strong = _within(set(hints) - wrappers, hints)
+    weak = _within({tag for tag in wrappers if hints[tag][0] != "article"}, hints)
+    return [(*block[:4], 1 if block[4] or strong & {*block[5]} else WRAPPED if weak & {*block[5]} else 0, block[6]) for block in blocks]
+
+
+def _within(tags: set[int], hints: dict[int, tuple[str, int, int]]) -> set[int]:
+    """The tags, and the elements with hints of the same kind within them."""
+    found: set[int] = set()
+    for tag, (_, _, before) in hints.items():  # in page order
+        if tag in tags or before in found:
+            found.add(tag)
+    return found
+
+
+def _wrappers(rows: list[tuple[float, tuple[int, int]]], hints: dict[int, tuple[str, int, int]], titled: set[int]) -> set[int]:
+    """The elements whose class words say little, as they hold most of the page. ``rows`` has the unlinked words of the blocks and the
+    last elements with hints around them.
+
+    A thread of comments may be longer than the article, so it must hold the page's title or every paragraph to be a wrapper, and it does
+    not count when others are compared. An article named after comments is one of many unless it holds most of what is left.
+    """
+
+    def held(rows: list[tuple[float, tuple[int, int]]]) -> dict[int, float]:
+        sums = dict.fromkeys([*hints, -1], 0.0)
+        for words, last in rows:
+            for tag in last:
+                sums[tag] += words
+        for tag in reversed(hints):
+            sums[hints[tag][2]] += sums[tag]
+        return sums
+
+    def most(rows: list[tuple[float, tuple[int, int]]]) -> set[int]:
+        sums, total = held(rows), sum(words for words, _ in rows)
+        return {tag for tag in hints if 2 * sums[tag] > total}
+
+    def without(threads: set[int]) -> list[tuple[float, tuple[int, int]]]:
+        inner = _within(threads, hints)
+        return [(words, last) for words, last in rows if last[0] not in inner]
+
+    comments = {tag for tag, (_, hint, _) in hints.items() if hint == 2}
+    articles = {tag for tag in comments if hints[tag][0] == "article"}
+    paragraphs = [(1.0, last) for words, last in rows if words >= PARAGRAPH] or [(1.0, last) for words, last in rows if words]
+    counts = held(paragraphs)
+    threads = comments - articles - titled - {tag for tag in most(rows) if counts[tag] == len(paragraphs)}
+    threads |= articles - most(without(threads))
+    return most(without(threads)) - threads
 
 
 def main_text(html: str, tree: tuple | int) -> str:
     blocks = text_blocks(html)
-    marked = any(inside and not aside for _, _, _, _, aside, inside in blocks)
+    marked = any(inside and aside < 1 for _, _, _, _, aside, inside in blocks)
     edge = ("", 0, 0.0, 0, 0, 0)
     kept = []
     for before, block, after in zip([edge, *blocks], blocks, [*blocks[1:], edge]):
