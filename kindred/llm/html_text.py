@@ -54,7 +54,9 @@ TOKEN = re.compile(
 )
 # Where the text of a raw element ends; within svg and math at their end, too.
 RAW_END = {(name, inner): re.compile(rf"</({name}{'|svg|math' * inner})(?=[\s/>])", re.I) for name in RAW for inner in (False, True)}
-HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'=])([^\s\"'=]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+HINTS = re.compile(r"\b(?:class|id|role)\Z", re.I)
+CACHED = 2000  # characters; longer attributes are read each time
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -142,9 +144,10 @@ def classify(tree: tuple | int, features: tuple) -> int:
 def _hinted(attributes: str) -> int:
     """2 for an element of reader comments, 1 for another that is not part of the article, 0 for others."""
     words = set()
-    for found in HINTS.finditer(attributes):
-        value = found[1] or found[2] or found[3] or ""
-        words.update(WORD.findall(CAMEL.sub(" ", value).lower()))
+    for found in ATTRIBUTE.finditer(attributes):
+        value = found[2] or found[3] or found[4] or ""
+        if HINTS.search(found[1]):
+            words.update(WORD.findall(CAMEL.sub(" ", value).lower()))
     return 2 if words & COMMENT_WORDS else 1 if words & ASIDE_WORDS else 0
 
 
@@ -257,7 +260,7 @@ def text_blocks(html: str) -> list[tuple[str, int, float, int, float, int]]:
         if slash:
             _pop(open_tags, name)
         elif name not in VOID:
-            hint = _hinted(attributes) if attributes and len(attributes) < 2000 else 0
+            hint = (_hinted if len(attributes) < CACHED else _hinted.__wrapped__)(attributes) if attributes else 0
             if name in ("html", "body", "main") or name == "article" and hint == 1:
                 hint = 0
             _end_same(open_tags, name)
