@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, topk, toxicity, vector_graph
+from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, subwords, topk, toxicity, vector_graph
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,3 +168,12 @@ SELECT * FROM ranked WHERE rank <= 20
 @query
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_graph.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op11_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = subwords.encode(read(spark, sf_dir, "documents", "doc_id", "text"), decoded=True)
+    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return coded.select(
+        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
