@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import html_text, line_dedup, minhash, mixing, packing, secret_scan, sharding, subwords, topk, toxicity, vector_graph
+from kindred.llm import html_text, line_dedup, merkle, minhash, mixing, packing, secret_scan, sharding, subwords, topk, toxicity, vector_graph, whitening
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,62 @@ def op11_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents", *merkle.FIELDS), merkle.tampered_text())
+
+
+def _merkle_sql(source_levels: int = 7, root_levels: int = 3) -> str:
+    """Level by level: the nodes of level l are in ``t<l>`` (per source) and ``r<l>`` (the subroots), each document's way in ``w<l>`` and ``x<l>``."""
+    h = "lower(sha256({}))".format
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: h(" || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])))
+    # crc32 by its polynomial, a bit at a time; the digits of an id are its bytes.
+    shift = "lambda r, b: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END"
+    byte = f"lambda r, c: list_reduce([xor(r, c)] || range(8), {shift})"
+    crc = f"xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), {byte}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""docs AS (SELECT doc_id, source, {leaf("text")} AS leaf,
+             {leaf(f"CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {lower} ELSE text END")} AS changed FROM documents)""",
+        """w0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS doc, doc AS pos,
+             changed AS v, '' AS proof FROM docs)""",
+        "t0 AS (SELECT source AS tree, pos, leaf AS d FROM w0)",
+    ]
+
+    def level(nodes: str, ways: str, up: int, tree: str) -> None:
+        before, now = f"{nodes}{up}", f"{nodes}{up + 1}"
+        steps.append(f"n{before} AS (SELECT tree, count(*) AS n FROM {before} GROUP BY tree)")
+        # A tree of one node stays as it is.
+        steps.append(f"""{now} AS (SELECT tree, p AS pos, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE {h("string_agg(d, '' ORDER BY pos)")} END AS d
+          FROM (SELECT b.*, n, pos // 16 AS p FROM {before} b JOIN n{before} m ON b.tree IS NOT DISTINCT FROM m.tree) GROUP BY tree, p)""")
+        joined = h("coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos < w.pos), '') || w.v || coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos > w.pos), '')")
+        steps.append(f"""{ways}{up + 1} AS (SELECT w.doc_id, w.source, w.leaf, w.doc, w.pos // 16 AS pos,
+          CASE WHEN any_value(n) = 1 THEN w.v ELSE {joined} END AS v, w.proof || coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos <> w.pos), '') AS proof
+          FROM {ways}{up} w JOIN {before} b ON b.tree IS NOT DISTINCT FROM {tree} AND b.pos // 16 = w.pos // 16
+          JOIN n{before} m ON m.tree IS NOT DISTINCT FROM {tree} GROUP BY w.doc_id, w.source, w.leaf, w.doc, w.pos, w.v, w.proof)""")
+
+    for up in range(source_levels):
+        level("t", "w", up, "w.source")
+    last = f"t{source_levels}"
+    steps.append(f"places AS (SELECT tree AS source, d, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place FROM {last})")
+    steps.append("r0 AS (SELECT 0 AS tree, place AS pos, d FROM places)")
+    steps.append(f"""x0 AS (SELECT w.doc_id, w.source, w.leaf, w.doc, place AS pos, w.v, w.proof
+      FROM w{source_levels} w JOIN places p ON p.source IS NOT DISTINCT FROM w.source)""")
+    for up in range(root_levels):
+        level("r", "x", up, "0")
+    return f"""WITH {", ".join(steps)}
+SELECT x.doc_id, x.leaf, p.d AS subroot, r.d AS root, {h("x.proof")} AS proof_sha256, x.v AS folded_root, x.v = r.d AS verified
+FROM x{root_levels} x JOIN places p ON p.source IS NOT DISTINCT FROM x.source, r{root_levels} r"""
+
+
+ORACLES["op12_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op13_whiten_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.components(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    # At some 100 million vectors the deviation exceeds a long; it is null there, and whole in the operator's own result.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long")).select("row.vec_id", *[c for c in found.columns if c != "row"])
