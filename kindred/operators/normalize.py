@@ -28,7 +28,16 @@ def user_stats(ratings: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI)
     rating value first: the counts are combined before the shuffle, so a user with very many ratings
     sends few rows, and both steps read the counts instead of the ratings.
     """
-    counts = ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("n"))
+    return stats_of_counts(rating_counts(ratings), lo, hi)
+
+
+def rating_counts(ratings: DataFrame) -> DataFrame:
+    """``(user_id, rating, n)``: how often each user gave each rating."""
+    return ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stats_of_counts(counts: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
+    """:func:`user_stats` from the counts."""
     means = counts.groupBy("user_id").agg(
         F.sum("n").alias("n_items"),
         (F.sum(F.col("rating") * F.col("n")) / F.sum("n")).alias("user_avg"),
@@ -54,11 +63,11 @@ def with_stats(ratings: DataFrame, stats: DataFrame) -> DataFrame:
 def normalized_ratings(
     ratings: DataFrame, stats: DataFrame, lo: float = RATING_LO, hi: float = RATING_HI
 ) -> DataFrame:
-    """``(user_id, item_id, dev, pre, n_items)``: the deviation, the same scaled to a unit vector per
-    user, and the size of that vector. A user whose ratings are all equal has the zero vector."""
+    """``(user_id, item_id, rating, dev, pre, n_items)``: the rating, its deviation, the same scaled to a unit
+    vector per user, and the size of that vector. A user whose ratings are all equal has the zero vector."""
     dev = normalized(F.col("rating"), F.col("user_avg"), lo, hi)
     return with_stats(ratings, stats).select(
-        "user_id", "item_id", dev.alias("dev"), safe_ratio(dev, F.col("norm")).alias("pre"), "n_items"
+        "user_id", "item_id", "rating", dev.alias("dev"), safe_ratio(dev, F.col("norm")).alias("pre"), "n_items"
     )
 
 

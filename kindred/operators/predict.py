@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import denormalized, pair_key, safe_ratio, symmetric_pair_key
@@ -24,10 +24,13 @@ def _keyed(evidence: DataFrame, pair: Column) -> DataFrame:
     return evidence.select("user_id", "item_id", "dev", pair.alias("pair"))
 
 
-def with_similarity(evidence: DataFrame, pairs: DataFrame, metrics: Sequence[str], n_evidence: float = 0) -> DataFrame:
+def with_similarity(
+    evidence: DataFrame, pairs: DataFrame, metrics: Sequence[str] | Mapping[str, Column], n_evidence: float = 0
+) -> DataFrame:
     """Attach the similarities of user and rater, one column per metric. A rater who shares no item
     with the user has no weight and is left out."""
-    sims = pairs.select("pair", *[metric_column(m).alias(m) for m in metrics])
+    columns = metrics if isinstance(metrics, Mapping) else {m: metric_column(m) for m in metrics}
+    sims = pairs.select("pair", *[column.alias(m) for m, column in columns.items()])
     keyed = _keyed(evidence, symmetric_pair_key(F.col("user_id"), F.col("rater")))
     return dealt(keyed, n_evidence, "pair").join(dealt(sims, n_evidence, "pair"), "pair")
 
@@ -47,7 +50,7 @@ def neighbour_evidence(test: DataFrame, normed: DataFrame, neighbours: DataFrame
     return dealt(asked, n_evidence, "v", "item_id").join(dealt(raters, n_evidence, "v", "item_id"), ["v", "item_id"]).drop("v")
 
 
-def metric_weights(metrics: Sequence[str]) -> dict[str, Column]:
+def metric_weights(metrics: Iterable[str]) -> dict[str, Column]:
     return {m: F.col(m) for m in metrics}
 
 
@@ -63,6 +66,38 @@ def weighted_sums(evidence: DataFrame, keys: list[str], weights: dict[str, Colum
     return evidence.groupBy(*keys).agg(*sums)
 
 
+def errors_by_k(
+    test: DataFrame, evidence: DataFrame, max_k: int, lo: float = RATING_LO, hi: float = RATING_HI
+) -> DataFrame:
+    """``(k, mae, n)`` for every k from 1 to ``max_k``, from neighbour evidence up to that k and test rows with ``user_avg``.
+
+    Along the rank of the neighbours, the prediction of a test row changes only where one of them rated the item: there, running sums
+    give the new prediction, and the difference of its error to the one before. Added up by rank, and then over the ranks, the differences are the
+    sum of all errors for every k. So the plan and its rows do not depend on how many k are asked for; only one row per rank is
+    summed up in one task. Without neighbours, the prediction is the user's mean.
+    """
+    keys = ["user_id", "item_id"]
+    along = Window.partitionBy(*keys).orderBy("pos")
+    to_here = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = evidence.select(
+        *keys,
+        "pos",
+        F.sum(F.col("sim") * F.col("dev")).over(to_here).alias("num"),
+        F.sum(F.abs("sim")).over(to_here).alias("den"),
+    )
+    rows = test.select(*keys, "rating", "user_avg")
+    predicted = denormalized(F.col("user_avg"), safe_ratio(F.col("num"), F.col("den")), lo, hi)
+    first = F.abs(F.col("rating") - F.col("user_avg"))
+    errors = sums.join(rows.hint("shuffle_hash"), keys).withColumn("error", F.abs(F.col("rating") - predicted))
+    change = F.col("error") - F.coalesce(F.lag("error").over(along), first)
+    steps = errors.select("pos", change.alias("change")).groupBy("pos").agg(F.sum("change").alias("change"))
+    start = test.agg(F.sum(first).alias("first"), F.count(F.lit(1)).alias("n"))
+    ranks = start.select("first", "n", F.explode(F.sequence(F.lit(1), F.lit(max_k))).alias("k"))
+    found = ranks.join(steps, F.col("k") == F.col("pos"), "left")
+    total = F.col("first") + F.sum(F.coalesce("change", F.lit(0.0))).over(Window.orderBy("k"))
+    return found.select("k", F.try_divide(total, F.col("n")).alias("mae"), "n")
+
+
 def weighted_deviation(test: DataFrame, evidence: DataFrame, weights: dict[str, Column]) -> DataFrame:
     """The rows of ``test`` with one column per weight; 0 where no rater has any weight."""
     keys = ["user_id", "item_id"]

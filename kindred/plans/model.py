@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.operators.blocks import Groups, measure_groups
+from kindred.operators.bounded import BoundedNeighbours, bounded_neighbours
+from kindred.operators.metrics import Metric, metric_columns, metric_pairs, metric_similarities
 from kindred.operators.neighbours import both_directions, nearest
 from kindred.operators.normalize import normalized_ratings, user_stats, with_user_avg
 from kindred.operators.predict import (
+    errors_by_k,
     metric_weights,
     neighbour_evidence,
     neighbour_weights,
@@ -25,6 +28,7 @@ from kindred.operators.predict import (
 )
 from kindred.operators.recommend import personal_predictions, personal_similarities, with_personal
 from kindred.operators.similarity import co_rated_pairs, co_rated_pairs_of, similarities
+from kindred.operators.statistics import FittedStatistics
 from kindred.params import BLOCK_ROWS, RATING_HI, RATING_LO
 from kindred.session import staged
 
@@ -120,6 +124,10 @@ class Model:
     def neighbours(self, k: int) -> DataFrame:
         return nearest(both_directions(similarities(self.pairs)), self.n_users, k)
 
+    def bounded_neighbours(self, k: int) -> BoundedNeighbours:
+        """The same neighbours, without adding up the pairs that cannot be among them: for vectors with many items in common."""
+        return bounded_neighbours(self.normed, self.n_users, k, self.block_rows)
+
     def test_neighbours(self, k: int) -> DataFrame:
         """The neighbours of the test users only."""
         directed = both_directions(similarities(self.needed_pairs))
@@ -132,18 +140,35 @@ class Model:
         weighted = with_similarity(self.evidence, self.needed_pairs, metrics, self.items.join_matches)
         return weighted_deviation(self.test_rows, weighted, metric_weights(metrics))
 
-    def neighbour_deviations(self, k_values: Sequence[int]) -> DataFrame:
-        """The test rows with one weighted-deviation column ``k<k>`` per k, from one ranking.
+    def similarities(self, metrics: Iterable[str] | Mapping[str, Metric]) -> DataFrame:
+        """``(u, v, <metric>...)`` for own and built-in metrics on both users' vectors, from one join."""
+        return metric_similarities(metric_pairs(self.normed, self.items, metrics), metrics)
+
+    def predict_by(self, metrics: Iterable[str] | Mapping[str, Metric]) -> DataFrame:
+        """``(user_id, item_id, rating, <metric>...)`` for own and built-in metrics, all from one join of pairs and one of evidence."""
+        columns = metric_columns(metrics)
+        weighted = with_similarity(self.evidence, metric_pairs(self.normed, self.items, metrics), columns, self.items.join_matches)
+        deviations = weighted_deviation(self.test_rows, weighted, metric_weights(columns))
+        return predictions(deviations, list(columns), self.lo, self.hi).drop("user_avg")
+
+    def neighbour_evidence(self, k: int) -> DataFrame:
+        """``(user_id, item_id, dev, sim, pos)``: for each test row, those of its user's ``k`` neighbours who rated the item.
 
-        The evidence is looked up by the raters of the items, or by the neighbours of the users, whichever are fewer: never
-        more rows than test rows times the largest k."""
-        near = self.test_neighbours(max(k_values))
-        by_neighbour = float(self.n_test) * max(k_values)
+        They are looked up by the raters of the items, or by the neighbours of the users, whichever are fewer: never
+        more rows than test rows times k."""
+        near = self.test_neighbours(k)
+        by_neighbour = float(self.n_test) * k
         if self.items.join_matches <= by_neighbour:
-            weighted = with_neighbour(self.evidence, near)
-        else:
-            weighted = neighbour_evidence(self.test, self.normed, near, by_neighbour)
-        return weighted_deviation(self.test_rows, weighted, neighbour_weights(k_values))
+            return with_neighbour(self.evidence, near)
+        return neighbour_evidence(self.test, self.normed, near, by_neighbour)
+
+    def neighbour_deviations(self, k_values: Sequence[int]) -> DataFrame:
+        """The test rows with one weighted-deviation column ``k<k>`` per k, from one ranking."""
+        return weighted_deviation(self.test_rows, self.neighbour_evidence(max(k_values)), neighbour_weights(k_values))
+
+    def errors_by_k(self, max_k: int) -> DataFrame:
+        """``(k, mae, n)`` for every k from 1 to ``max_k``, from one ranking."""
+        return errors_by_k(self.test_rows, self.neighbour_evidence(max_k), max_k, self.lo, self.hi)
 
     def predict(self, *metrics: str) -> DataFrame:
         """``(user_id, item_id, rating, <metric>...)``"""
@@ -164,6 +189,7 @@ class PersonalModel:
     user_id: int
     lo: float = RATING_LO
     hi: float = RATING_HI
+    fitted: FittedStatistics | None = None  # of all ratings; only the user's own are read for theirs then
 
     def __post_init__(self) -> None:
         require_narrow_ids(self.ratings, self.personal)
@@ -184,7 +210,10 @@ class PersonalModel:
 
     @cached_property
     def stats(self) -> DataFrame:
-        return staged(user_stats(self.others.unionByName(self.mine), self.lo, self.hi), "user-stats")
+        if self.fitted is None:
+            return staged(user_stats(self.others.unionByName(self.mine), self.lo, self.hi), "user-stats")
+        known = self.ratings.where(F.col("user_id") == self.user_id)
+        return staged(self.fitted.merge(added=self.mine, removed=known).stats, "user-stats")
 
     @cached_property
     def n_users(self) -> int:

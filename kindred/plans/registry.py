@@ -11,12 +11,14 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.operators import evaluate, neighbours, normalize, recommend, similarity, vectors
+from kindred.operators import dense, evaluate, neighbours, normalize, overlaps, recommend, similarity, vectors
 from kindred.operators.blocks import measure_groups
+from kindred.operators.statistics import FittedStatistics
 from kindred.params import K_VALUES
 from kindred.plans import jobs
 from kindred.plans.model import Model, PersonalModel, named
 from kindred.sources import (
+    load_ratings,
     read_catalog,
     read_personal,
     read_ratings,
@@ -123,6 +125,32 @@ def row_count_check(t):
     )
 
 
+def _load_damaged(t):
+    path = t.path("damaged-text")
+    t.damaged_lines.write.text(path)
+    return load_ratings(t.spark, path)
+
+
+@query
+def refused_lines(t):
+    """The lines that a load refuses, and why."""
+    return _load_damaged(t).rejects
+
+
+@query
+def loaded_ratings(t):
+    """What is left of the same file."""
+    return _load_damaged(t).ratings
+
+
+@query
+def load_counts(t):
+    """Lines by reason of refusal, counted while the table was written; read lines count as ``read``."""
+    loaded = _load_damaged(t)
+    rows = [("read", loaded.n_rows), *loaded.refused.items()]
+    return t.spark.createDataFrame(rows, "reason string, n_lines long")
+
+
 @query
 def report_json_roundtrip(t):
     maes = evaluate.mean_absolute_errors(model(t).predict("cosine", "jaccard"), ["cosine", "jaccard"])
@@ -157,6 +185,13 @@ def user_norm(t):
     return stats(t).select("user_id", "norm")
 
 
+@query
+def user_stats_after_merge(t):
+    """The training ratings, with the test ratings added to their statistics and every seventh item's taken away again."""
+    fitted = FittedStatistics.fit(t.train).merge(added=t.test)
+    return fitted.merge(removed=t.ratings.where("item_id % 7 = 0")).stats
+
+
 @query
 def global_deviation_avg(t):
     return normalize.global_deviation_avg(normed(t))
@@ -220,6 +255,69 @@ def overlap_stats(t):
     )
 
 
+@query
+def weighted_jaccard_similarity(t):
+    found = model(t).similarities(["weighted_jaccard"]).withColumnRenamed("weighted_jaccard", "sim")
+    return found.withColumn("sim", rounded_again("sim"))
+
+
+@query
+def pearson_similarity(t):
+    found = model(t).similarities(["pearson"]).withColumnRenamed("pearson", "sim")
+    return found.withColumn("sim", rounded_again("sim"))
+
+
+@query
+def similarities_by_metric(t):
+    """Three metrics of each pair, from one join."""
+    names = ["cosine", "weighted_jaccard", "pearson"]
+    found = model(t).similarities(names)
+    return found.select("u", "v", *[rounded_again(m).alias(m) for m in names])
+
+
+@query
+def mae_by_metric(t):
+    """Predictions weighted by each metric, from one join of the pairs and one of the evidence."""
+    names = ["cosine", "jaccard", "weighted_jaccard", "pearson"]
+    return evaluate.mean_absolute_errors(model(t).predict_by(names), names)
+
+
+# Few items with very many raters
+
+
+@cache
+def brand_model(t: TestTables) -> Model:
+    return Model(t.brand_ratings, t.brand_ratings.limit(0))
+
+
+def _brand_pairs(t):
+    m = brand_model(t)
+    return dense.co_rated_pairs_hybrid(m.normed, m.items)
+
+
+@query
+def hot_item_pair_summary(t):
+    """Pairs of users whose common items are nearly all hot, from products of dense blocks."""
+    return similarity.pair_summary(_brand_pairs(t), brand_model(t).n_users)
+
+
+@query
+def hot_item_neighbours(t):
+    directed = neighbours.both_directions(similarity.similarities(_brand_pairs(t)))
+    return neighbours.nearest(directed, brand_model(t).n_users, 5).withColumn("sim", rounded_again("sim"))
+
+
+@query
+def overlap_moments_few_items(t):
+    """Many users and few items: pairs of items take the place of pairs of users."""
+    return overlaps.overlap_moments(t.brand_ratings)
+
+
+@query
+def overlap_moments_many_items(t):
+    return overlaps.overlap_moments(t.train)
+
+
 # Predictions and errors with all users
 
 
@@ -283,6 +381,12 @@ def knn_k30(t):
     return model(t).neighbours(30).withColumn("sim", rounded_again("sim"))
 
 
+@query
+def knn_bounded_k30(t):
+    """The same neighbours from the join that drops pairs by their bounds."""
+    return model(t).bounded_neighbours(30).neighbours.withColumn("sim", rounded_again("sim"))
+
+
 @query
 def knn_weighted_deviation(t):
     return model(t).neighbour_deviations([30]).select("user_id", "item_id", F.col("k30").alias("w"))
@@ -298,6 +402,12 @@ def knn_mae_sweep(t):
     return evaluate.sweep_rows(jobs.knn_sweep(model(t)))
 
 
+@query
+def knn_mae_every_k(t):
+    """All k up to the largest one of the sweep."""
+    return model(t).errors_by_k(max(K_VALUES)).select("k", "mae")
+
+
 @query
 def lowest_k(t):
     return jobs.knn_sweep(model(t), baseline=TEST_BASELINE).drop("sweep")
@@ -358,6 +468,13 @@ def recommend_exact_max(t):
     return best.orderBy("item_id").select("item_id", "title", "prediction")
 
 
+@query
+def recommend_with_fitted_statistics(t):
+    """The same report; the statistics of all users are kept from before, and only the personal user's are computed."""
+    fitted = FittedStatistics.fit(t.ratings)
+    return jobs.recommend_report(PersonalModel(t.ratings, t.personal, PERSONAL_ID, fitted=fitted), t.catalog)
+
+
 @query
 def recommend_report(t):
     return jobs.recommend_report(personal_model(t), t.catalog)

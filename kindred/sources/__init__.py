@@ -1,4 +1,5 @@
 from kindred.sources.checks import require_row_counts, row_counts
+from kindred.sources.loading import Loaded, load_ratings
 from kindred.sources.reports import read_report, write_report
 from kindred.sources.text import (
     read_catalog,
@@ -9,6 +10,8 @@ from kindred.sources.text import (
 )
 
 __all__ = [
+    "Loaded",
+    "load_ratings",
     "read_catalog",
     "read_personal",
     "read_ratings",

@@ -75,6 +75,27 @@ class TestTables:
             (F.col("p_size") % 5 + 1).cast("double").alias("rating"),
         )
 
+    @cached_property
+    def brand_ratings(self) -> DataFrame:
+        """Customers rate the brands of the parts they ordered: few items, and most users rate each of them."""
+        lines = self.read("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+        orders = self.read("orders").select("o_orderkey", "o_custkey")
+        parts = self.read("part").select("p_partkey", F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("item_id"))
+        rated = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        rating = (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("double")
+        return staged(unique_ratings(rated.select(F.col("o_custkey").cast("int").alias("user_id"), "item_id", rating.alias("rating"))), "brand-ratings")
+
+    @property
+    def damaged_lines(self) -> DataFrame:
+        """The ratings as lines of text, some of them damaged in one way or another."""
+        rating = F.col("rating").cast("int").cast("string")
+        kind = F.pmod(F.col("user_id") * 7 + F.col("item_id"), F.lit(50))
+        field = F.when(kind == 1, "NaN").when(kind == 2, "99").when(kind == 3, "-3").when(kind == 4, "four").otherwise(rating)
+        user = F.when(kind == 5, F.concat(F.col("user_id").cast("string"), F.lit(".5"))).otherwise(F.col("user_id").cast("string"))
+        item = F.when(kind == 6, "").otherwise(F.col("item_id").cast("string"))
+        whole = F.concat_ws("\t", user, item, field)
+        return self.ratings.select(F.when(kind == 7, F.concat_ws("\t", user, item)).otherwise(whole).alias("value"))
+
     @property
     def catalog(self) -> DataFrame:
         """All parts. Every seventh title gets a comma, so that scans have to cope with it."""

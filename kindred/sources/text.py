@@ -8,25 +8,21 @@ A malformed line fails the job instead of turning into nulls, whatever the sessi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.params import PERSONAL_USER_ID, RATING_HI, RATING_LO
+from kindred.sources.loading import parsed_ratings
 
-def _required(field: Column, type_name: str, line: Column) -> Column:
-    parsed = F.trim(field).try_cast(type_name)
-    return F.coalesce(parsed, F.raise_error(F.concat(F.lit("malformed line: "), line)).cast(type_name))
 
-
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """``(user_id, item_id, rating)`` from tab-separated text."""
-    line = F.col("value")
-    fields = F.split(line, "\t", 4)
-    return spark.read.text(path).select(
-        _required(F.get(fields, F.lit(0)), "int", line).alias("user_id"),
-        _required(F.get(fields, F.lit(1)), "int", line).alias("item_id"),
-        _required(F.get(fields, F.lit(2)), "double", line).alias("rating"),
-    )
+def read_ratings(spark: SparkSession, path: str, lo: float = RATING_LO, hi: float = RATING_HI) -> DataFrame:
+    """``(user_id, item_id, rating)`` from tab-separated text. A line that cannot be read, or whose rating is not from ``lo`` to ``hi``, fails the job,
+    whichever of its fields is asked for; :func:`kindred.sources.loading.load_ratings` collects such lines instead."""
+    parsed = parsed_ratings(F.col("value"), lo, hi)
+    fields = F.struct(*[parsed[name].alias(name) for name in ("user_id", "item_id", "rating")])
+    kind = "struct<user_id:int,item_id:int,rating:double>"
+    failed = F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))).cast(kind)
+    return spark.read.text(path).select(F.when(parsed["reason"].isNull(), fields).otherwise(failed).alias("f")).select("f.*")
 
 
 def write_ratings(ratings: DataFrame, path: str) -> None:

@@ -50,6 +50,36 @@ test AS (SELECT * FROM ratings WHERE {_HELD}),
 test_avg AS (SELECT t.user_id, t.item_id, t.rating, COALESCE(user_avg, (SELECT AVG(rating) FROM train)) AS user_avg
              FROM test t LEFT JOIN avgs a ON t.user_id = a.user_id)"""
 
+_DAMAGED = f"""{_RATINGS},
+damaged AS (SELECT *, (user_id * 7 + item_id) % 50 AS kind, rating::INT::VARCHAR AS r FROM ratings),
+lines AS (SELECT kind, CASE WHEN kind = 7 THEN concat(user_id, chr(9), item_id)
+                 ELSE concat(CASE WHEN kind = 5 THEN concat(user_id, '.5') ELSE user_id::VARCHAR END, chr(9),
+                             CASE WHEN kind = 6 THEN '' ELSE item_id::VARCHAR END, chr(9),
+                             CASE kind WHEN 1 THEN 'NaN' WHEN 2 THEN '99' WHEN 3 THEN '-3' WHEN 4 THEN 'four' ELSE r END) END AS line,
+                 CASE WHEN kind BETWEEN 1 AND 3 THEN 'range' WHEN kind = 4 THEN 'rating' WHEN kind = 5 THEN 'user_id'
+                      WHEN kind = 6 THEN 'item_id' WHEN kind = 7 THEN 'fields' END AS reason FROM damaged)"""
+
+_BRANDS = f"""
+brands AS (SELECT o_custkey::INT AS user_id, regexp_extract(p_brand, '([0-9]+)')::INT AS item_id,
+                  MAX(1 + FLOOR((l_quantity - 1) / 10))::DOUBLE AS rating
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+{_normed('brands')},
+users AS (SELECT DISTINCT user_id FROM brands),
+sims AS (SELECT a.user_id AS u, b.user_id AS v, ROUND(SUM(a.pre * b.pre), 10) AS cosine, COUNT(*) AS overlap
+         FROM normed a JOIN normed b ON a.item_id = b.item_id GROUP BY 1, 2)"""
+
+
+def _moments(source: str) -> str:
+    """Over every pair u <= v of users, by pairing them."""
+    return f"""WITH source AS (FROM {source}), users AS (SELECT DISTINCT user_id FROM source),
+common AS (SELECT a.user_id AS u, b.user_id AS v, COUNT(*) AS n FROM source a JOIN source b ON a.item_id = b.item_id GROUP BY 1, 2),
+side AS (SELECT CASE WHEN (SELECT SUM(n * n) FROM (SELECT COUNT(*) AS n FROM source GROUP BY user_id))
+                        < (SELECT SUM(n * n) FROM (SELECT COUNT(*) AS n FROM source GROUP BY item_id)) THEN 'items' ELSE 'users' END AS paired)
+SELECT COUNT(*)::BIGINT AS pairs_all, ROUND(AVG(COALESCE(n, 0)), 6) AS avg_overlap, ROUND(STDDEV_POP(COALESCE(n, 0)), 6) AS stddev_overlap,
+       (SELECT paired FROM side) AS paired
+FROM users x JOIN users y ON x.user_id <= y.user_id LEFT JOIN common c ON c.u = x.user_id AND c.v = y.user_id"""
+
+
 # All co-rated ordered pairs (both directions and the diagonal), without any triangle.
 _PAIRS = f"""{_TRAIN},
 matches AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.pre * b.pre) AS dot, COUNT(*) AS overlap,
@@ -58,6 +88,20 @@ matches AS (SELECT a.user_id AS u, b.user_id AS v, SUM(a.pre * b.pre) AS dot, CO
 sims AS (SELECT u, v, overlap, ROUND(dot, 10) AS cosine, ROUND(overlap / (n_u + n_v - overlap), 10) AS jaccard
          FROM matches)"""
 
+# The same pairs from the raw ratings, item by item and as correlations.
+_METRICS = f"""{_TRAIN},
+sizes AS (SELECT user_id, SUM(rating) AS total, COUNT(*) AS n FROM train GROUP BY 1),
+common AS (SELECT a.user_id AS u, b.user_id AS v, SUM(x.pre * y.pre) AS dot, COUNT(*) AS overlap,
+                  SUM(LEAST(a.rating, b.rating)) AS smaller, CORR(a.rating, b.rating) AS corr,
+                  VAR_POP(a.rating) AS va, VAR_POP(b.rating) AS vb
+           FROM train a JOIN train b ON a.item_id = b.item_id
+           JOIN normed x ON x.user_id = a.user_id AND x.item_id = a.item_id
+           JOIN normed y ON y.user_id = b.user_id AND y.item_id = b.item_id GROUP BY 1, 2),
+metrics AS (SELECT u, v, ROUND(dot, 10) AS cosine, ROUND(overlap / (s.n + t.n - overlap), 10) AS jaccard,
+                   ROUND(smaller / (s.total + t.total - smaller), 10) AS weighted_jaccard,
+                   CASE WHEN va > 1e-12 AND vb > 1e-12 THEN ROUND(corr, 10) ELSE 0 END AS pearson
+            FROM common JOIN sizes s ON s.user_id = u JOIN sizes t ON t.user_id = v)"""
+
 _WEIGHTED = f"""{_PAIRS},
 weighted AS (
   SELECT t.user_id, t.item_id, t.rating, t.user_avg,
@@ -167,6 +211,31 @@ ORACLES: dict[str, str] = {
              UNION ALL SELECT 'test', COUNT(*), (SELECT COUNT(*) FROM ratings) - (SELECT COUNT(*) FROM train) FROM test
              UNION ALL SELECT 'catalog', COUNT(*), (SELECT COUNT(*) FROM part) FROM catalog)""",
     ),
+    "refused_lines": _with(_DAMAGED, "SELECT reason, line FROM lines WHERE reason IS NOT NULL"),
+    "loaded_ratings": _with(_DAMAGED, "SELECT user_id, item_id, rating FROM damaged WHERE kind NOT BETWEEN 1 AND 7"),
+    "load_counts": _with(
+        _DAMAGED,
+        """SELECT reason, (SELECT COUNT(*) FROM lines l WHERE COALESCE(l.reason, 'read') = r.reason)::BIGINT AS n_lines
+           FROM (SELECT UNNEST(['read', 'fields', 'user_id', 'item_id', 'rating', 'range']) AS reason) r""",
+    ),
+    "hot_item_pair_summary": _with(
+        _BRANDS,
+        """SELECT COUNT(*)::BIGINT AS pairs_all, COUNT(*) FILTER (cosine <> 0)::BIGINT AS pairs_nonzero,
+                  (8 * COUNT(*) FILTER (cosine <> 0))::BIGINT AS bytes_nonzero, MIN(COALESCE(overlap, 0))::DOUBLE AS min_overlap,
+                  MAX(COALESCE(overlap, 0))::DOUBLE AS max_overlap, ROUND(AVG(COALESCE(overlap, 0)), 6) AS avg_overlap,
+                  ROUND(STDDEV_POP(COALESCE(overlap, 0)), 6) AS stddev_overlap
+           FROM users a JOIN users b ON a.user_id <= b.user_id LEFT JOIN sims s ON s.u = a.user_id AND s.v = b.user_id""",
+    ),
+    "hot_item_neighbours": _with(
+        _BRANDS,
+        f"""SELECT u, v, {_rounded_again('sim')} AS sim, pos::BIGINT AS pos FROM (
+              SELECT a.user_id AS u, b.user_id AS v, COALESCE(cosine, 0) AS sim,
+                     ROW_NUMBER() OVER (PARTITION BY a.user_id ORDER BY COALESCE(cosine, 0) DESC, b.user_id) AS pos
+              FROM users a JOIN users b ON a.user_id <> b.user_id LEFT JOIN sims s ON s.u = a.user_id AND s.v = b.user_id)
+            WHERE pos <= 5 AND sim <> 0""",
+    ),
+    "overlap_moments_few_items": _moments(f"(WITH {_BRANDS.strip()} SELECT user_id, item_id FROM brands)"),
+    "overlap_moments_many_items": _moments(f"(WITH {_TRAIN.strip()} SELECT user_id, item_id FROM train)"),
     "report_json_roundtrip": _with(
         _WEIGHTED,
         "SELECT ROUND(c, 6) AS mae_cosine, ROUND(j, 6) AS mae_jaccard, ROUND(j - c, 6) AS difference FROM maes",
@@ -174,6 +243,13 @@ ORACLES: dict[str, str] = {
     "global_avg": _with(_TRAIN, "SELECT ROUND(AVG(rating), 6) AS global_avg FROM train"),
     "user_avg": _with(_TRAIN, "SELECT user_id, ROUND(user_avg, 6) AS user_avg FROM avgs"),
     "user_norm": _with(_TRAIN, "SELECT DISTINCT user_id, ROUND(norm, 6) AS norm FROM normed"),
+    "user_stats_after_merge": _with(
+        f"""{_RATINGS},
+left_over AS (SELECT * FROM ratings WHERE item_id % 7 <> 0),
+{_normed('left_over')}""",
+        """SELECT user_id, ANY_VALUE(n_items)::BIGINT AS n_items, ROUND(ANY_VALUE(user_avg), 6) AS user_avg, ROUND(ANY_VALUE(norm), 6) AS norm
+           FROM normed JOIN avgs USING (user_id) GROUP BY 1""",
+    ),
     "global_deviation_avg": _with(_TRAIN, "SELECT ROUND(AVG(dev), 6) AS dev_avg FROM devs"),
     "scale_expr": _with(
         _TRAIN,
@@ -197,6 +273,31 @@ ORACLES: dict[str, str] = {
     "jaccard_similarity": _with(
         _PAIRS, f"SELECT u, v, {_rounded_again('jaccard')} AS sim FROM sims WHERE u <= v AND jaccard <> 0"
     ),
+    "weighted_jaccard_similarity": _with(
+        _METRICS, f"SELECT u, v, {_rounded_again('weighted_jaccard')} AS sim FROM metrics WHERE u <= v AND weighted_jaccard <> 0"
+    ),
+    "pearson_similarity": _with(
+        _METRICS, f"SELECT u, v, {_rounded_again('pearson')} AS sim FROM metrics WHERE u <= v AND pearson <> 0"
+    ),
+    "similarities_by_metric": _with(
+        _METRICS,
+        f"""SELECT u, v, {_rounded_again('cosine')} AS cosine, {_rounded_again('weighted_jaccard')} AS weighted_jaccard,
+                   {_rounded_again('pearson')} AS pearson
+            FROM metrics WHERE u <= v AND (cosine <> 0 OR weighted_jaccard <> 0 OR pearson <> 0)""",
+    ),
+    "mae_by_metric": _with(
+        _METRICS,
+        f"""SELECT ROUND(MAX(mae) FILTER (metric = 'cosine'), 6) AS cosine, ROUND(MAX(mae) FILTER (metric = 'jaccard'), 6) AS jaccard,
+                   ROUND(MAX(mae) FILTER (metric = 'weighted_jaccard'), 6) AS weighted_jaccard,
+                   ROUND(MAX(mae) FILTER (metric = 'pearson'), 6) AS pearson, MAX(n)::BIGINT AS n
+            FROM (SELECT metric, AVG(ABS(rating - (user_avg + w * ({_scale('user_avg + w', 'user_avg')})))) AS mae, COUNT(*) AS n
+                  FROM (SELECT t.metric, t.user_id, t.item_id, t.rating, t.user_avg, COALESCE(SUM(s * dev) / NULLIF(SUM(ABS(s)), 0), 0) AS w
+                        FROM (SELECT *, UNNEST(['cosine', 'jaccard', 'weighted_jaccard', 'pearson']) AS metric FROM test_avg) t
+                        LEFT JOIN normed r ON r.item_id = t.item_id
+                        LEFT JOIN (UNPIVOT metrics ON cosine, jaccard, weighted_jaccard, pearson INTO NAME metric VALUE s) m
+                          ON m.u = t.user_id AND m.v = r.user_id AND m.metric = t.metric
+                        GROUP BY ALL) GROUP BY metric)""",
+    ),
     "similarity_pair_counts": _with(
         _ALL_PAIRS, "SELECT pairs_all, pairs_nonzero, (8 * pairs_nonzero)::BIGINT AS bytes_nonzero FROM summary"
     ),
@@ -242,11 +343,28 @@ ORACLES: dict[str, str] = {
         _RANKED,
         f"SELECT u, v, {_rounded_again('sim')} AS sim, pos::BIGINT AS pos FROM ranked WHERE pos <= 30 AND sim <> 0",
     ),
+    "knn_bounded_k30": _with(
+        _RANKED,
+        f"SELECT u, v, {_rounded_again('sim')} AS sim, pos::BIGINT AS pos FROM ranked WHERE pos <= 30 AND sim <> 0",
+    ),
     "knn_weighted_deviation": _knn_predicted("SELECT user_id, item_id, ROUND(w, 6) AS w FROM predicted"),
     "predict_knn_k30": _knn_predicted(
         "SELECT user_id, item_id, rating, ROUND(prediction, 6) AS prediction FROM predicted"
     ),
     "knn_mae_sweep": _with(_SWEPT, "SELECT k::INT AS k, ROUND(mae, 6) AS mae FROM sweep"),
+    # Every test row at every k, summed up over all k below.
+    "knn_mae_every_k": _with(
+        f"""{_RANKED},
+at_k AS (SELECT t.user_id, t.item_id, n.pos AS k, SUM(sim * dev) AS num, SUM(ABS(sim)) AS den
+         FROM test t JOIN normed r ON r.item_id = t.item_id JOIN ranked n ON n.u = t.user_id AND n.v = r.user_id
+         WHERE pos <= {max(K_VALUES)} GROUP BY 1, 2, 3),
+summed AS (SELECT k, rating, user_avg, SUM(COALESCE(num, 0)) OVER w AS num, SUM(COALESCE(den, 0)) OVER w AS den
+           FROM (SELECT k, t.* FROM test_avg t, range(1, {max(K_VALUES) + 1}) r(k)) t LEFT JOIN at_k a USING (user_id, item_id, k)
+           WINDOW w AS (PARTITION BY user_id, item_id ORDER BY k)),
+deviation AS (SELECT k, rating, user_avg, CASE WHEN den <> 0 THEN num / den ELSE 0 END AS w FROM summed)""",
+        f"""SELECT k::INT AS k, ROUND(AVG(ABS(rating - (user_avg + w * ({_scale('user_avg + w', 'user_avg')})))), 6) AS mae
+            FROM deviation GROUP BY k""",
+    ),
     "lowest_k": _with(
         _SWEPT,
         f"""SELECT min_k::INT AS min_k, ROUND(min_mae - {BASELINE}, 6) AS min_k_minus_baseline,
@@ -283,5 +401,8 @@ ORACLES: dict[str, str] = {
         f"""SELECT item_id, title, prediction FROM predicted WHERE k = 30 AND prediction = {HI}
             ORDER BY item_id LIMIT 5""",
     ),
+    "recommend_with_fitted_statistics": _with(
+        _RECOMMENDED, "SELECT k::INT AS k, position, item_id, title, prediction FROM best"
+    ),
     "recommend_report": _with(_RECOMMENDED, "SELECT k::INT AS k, position, item_id, title, prediction FROM best"),
 }
