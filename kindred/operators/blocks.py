@@ -29,7 +29,8 @@ class Groups:
     """What is known about the groups of ``key`` before they are joined.
 
     ``hot`` is a table ``(key, blocks_l, blocks_r)`` of ``n_hot`` rows, or None if no group is hot. ``self_matches`` and
-    ``join_matches`` are the numbers of matches of the left side with itself and with the right one.
+    ``join_matches`` are the numbers of matches of the left side with itself and with the right one; ``largest`` is the size of the
+    largest group on the left.
     """
 
     key: str
@@ -37,6 +38,7 @@ class Groups:
     n_hot: int
     self_matches: float
     join_matches: float
+    largest: int = 0
 
     @property
     def self_tasks(self) -> int:
@@ -66,13 +68,14 @@ def measure_groups(key: str, left: DataFrame, right: DataFrame | None = None, bl
         F.count_if(is_hot).alias("n_hot"),
         F.coalesce(F.sum(left_n * (left_n + 1) / 2), F.lit(0.0)).alias("self_matches"),
         F.coalesce(F.sum(left_n * right_n), F.lit(0.0)).alias("join_matches"),
+        F.coalesce(F.max("l"), F.lit(0)).alias("largest"),
     ).first()
     hot = None
     if size.n_hot:
         blocks = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(block_rows)), F.lit(1)).cast("int")
         hot = counts.where(is_hot).select(key, blocks("l").alias("blocks_l"), blocks("r").alias("blocks_r"))
         hot = staged(hot, "hot-groups")
-    return Groups(key, hot, size.n_hot, size.self_matches, size.join_matches)
+    return Groups(key, hot, size.n_hot, size.self_matches, size.join_matches, size.largest)
 
 
 def with_block(df: DataFrame, member: str, groups: Groups, side: str = "l") -> DataFrame:

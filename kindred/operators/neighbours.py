@@ -24,7 +24,7 @@ def _head(directed: DataFrame, group: list[str], k: int) -> DataFrame:
     return directed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def nearest(directed: DataFrame, n_users: int, k: int) -> DataFrame:
+def nearest(directed: DataFrame, n_users: int, k: int, per_user: float = math.inf, listed: float = math.inf) -> DataFrame:
     """``(u, v, sim, pos)``: the neighbours with a non-zero similarity among the first ``k``.
 
     All other users are ranked by similarity, ties by id. Users in no pair have similarity zero and
@@ -34,17 +34,39 @@ def nearest(directed: DataFrame, n_users: int, k: int) -> DataFrame:
     The neighbours of each user are counted, and only the ``k`` first of them are ranked: a position is never better than
     the rank among the non-zero ones. Above the ``k`` up to which Spark limits a ranking by itself, each user's neighbours
     are first cut into parts, and these reduced to ``k``; parts are chosen so that both steps sort equally few rows.
+
+    Where users have hardly more neighbours than ``k`` (``per_user`` is an upper bound of their number on average), a limit would only sort them once more
+    before the shuffle: they are ranked and counted in one window. Where no user is in more than ``listed`` pairs, and that leaves ``k`` other users of
+    similarity zero, these come before all negative similarities, which are not ranked then.
     """
-    listed = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
-    if k > RANK_LIMIT:
-        parts = math.ceil(math.sqrt(max(n_users, 1) / k))
-        directed = _head(directed.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts))), ["u", "part"], k)
-    ranked = _head(directed, ["u"], k).join(listed, "u")
+    everyone, best = Window.partitionBy("u"), Window.partitionBy("u").orderBy(F.desc("sim"), "v")
+    few = per_user <= 2 * k
+    if n_users - 1 - listed >= k:
+        positive = directed.where(F.col("sim") > 0)
+        if few:
+            # The rank as a running count, which no limit is derived from.
+            pos = F.count(F.lit(1)).over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            return positive.select("u", "v", "sim", pos.alias("pos")).where(F.col("pos") <= k)
+        return _first(positive, n_users, k).select("u", "v", "sim", F.col("rank").cast("long").alias("pos"))
+    if few:
+        ranks = F.row_number().over(best).alias("rank"), F.count(F.lit(1)).over(everyone).alias("n_listed")
+        ranked = directed.select("u", "v", "sim", *ranks)
+    else:
+        counts = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
+        ranked = _first(directed, n_users, k).join(counts, "u")
     zeros = F.lit(n_users - 1) - F.col("n_listed")
     pos = F.when(F.col("sim") > 0, F.col("rank")).otherwise(F.col("rank") + zeros).cast("long")
     return ranked.select("u", "v", "sim", pos.alias("pos")).where(F.col("pos") <= k)
 
 
+def _first(directed: DataFrame, n_users: int, k: int) -> DataFrame:
+    """The ``k`` first rows of each user with their ``rank``, limited before the shuffle for any ``k``."""
+    if k > RANK_LIMIT:
+        parts = math.ceil(math.sqrt(max(n_users, 1) / k))
+        directed = _head(directed.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(parts))), ["u", "part"], k)
+    return _head(directed, ["u"], k)
+
+
 def neighbour_storage(stats: DataFrame, k_values: Sequence[int]) -> DataFrame:
     """``(k, neighbours, bytes)`` to keep ``k`` neighbours, zero similarities included, per user."""
     users = stats.agg(F.count(F.lit(1)).alias("n"))

@@ -60,6 +60,6 @@ def overlap_moments(ratings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
     return squared_overlaps(ratings, group, member, block_rows).select(
         F.lit(pairs).cast("long").alias("pairs_all"),
         mean.alias("avg_overlap"),
-        F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("stddev_overlap"),
+        F.when(mean.isNotNull(), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))).alias("stddev_overlap"),
         F.lit("items" if by_items else "users").alias("paired"),
     )

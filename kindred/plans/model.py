@@ -66,8 +66,13 @@ class Model:
         return staged(user_stats(self.train, self.lo, self.hi), "user-stats")
 
     @cached_property
+    def _users(self):
+        """The number of users, and the largest number of items of one."""
+        return self.stats.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("n_items"), F.lit(0)).alias("most_items")).first()
+
+    @property
     def n_users(self) -> int:
-        return self.stats.count()
+        return self._users.n
 
     @cached_property
     def normed(self) -> DataFrame:
@@ -122,7 +127,12 @@ class Model:
         return rater_evidence(self.test, self.normed, self.items)
 
     def neighbours(self, k: int) -> DataFrame:
-        return nearest(both_directions(similarities(self.pairs)), self.n_users, k)
+        return self._nearest(both_directions(similarities(self.pairs)), k)
+
+    def _nearest(self, directed: DataFrame, k: int) -> DataFrame:
+        """With what is known of the number of a user's pairs: the matches per user, and most items times most raters."""
+        per_user = 2 * self.items.self_matches / max(self.n_users, 1)
+        return nearest(directed, self.n_users, k, per_user, self._users.most_items * self.items.largest)
 
     def bounded_neighbours(self, k: int) -> BoundedNeighbours:
         """The same neighbours, without adding up the pairs that cannot be among them: for vectors with many items in common."""
@@ -133,7 +143,7 @@ class Model:
         directed = both_directions(similarities(self.needed_pairs))
         if self.n_test_users < self.n_users:
             directed = directed.join(self.test_users.withColumnRenamed("user_id", "u").hint("shuffle_hash"), "u", "left_semi")
-        return nearest(directed, self.n_users, k)
+        return self._nearest(directed, k)
 
     def metric_deviations(self, *metrics: str) -> DataFrame:
         """The test rows with one weighted-deviation column per metric."""
