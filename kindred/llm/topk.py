@@ -10,8 +10,9 @@ best score known is that of the leaders after the first segment.
 Query blocks meet row blocks in cells of bounded size, each a task of its own; the k best of each cell are merged.
 
 Defined results: vectors that are null, or hold null or non-finite components, are neither queries nor candidates. Shorter vectors count
-as if filled up with zeros. Components beyond 2^28 after quantisation count as that. Rows with the query's own id are not its candidates;
-other repeated rows are candidates each. Ties go to the smaller id. An empty table gives an empty table. Other columns are
+as if filled up with zeros. Vectors with a component beyond 2^28 after quantisation are not in the index: they are scored as whole numbers of any size.
+A score among the best that does not fit a long fails. Rows with the query's own id are not its candidates;
+other repeated rows are candidates each, and queries with the same id share one list. Ties go to the smaller id. An empty table gives an empty table. Other columns are
 ignored.
 """
 
@@ -42,8 +43,17 @@ def usable(vector: Column) -> Column:
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    clipped = lambda x: F.greatest(F.least(F.floor(F.least(F.greatest(x.cast("double"), F.lit(-1e12)), F.lit(1e12)) * scale), F.lit(BOUND)), F.lit(-BOUND))
-    return F.transform(vector, lambda x: clipped(x).cast("int"))
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int"))
+
+
+def is_wide(vector: Column, scale: int = SCALE) -> Column:
+    """Whether a component's integer is beyond ``BOUND``: such vectors are scored as whole numbers of any size."""
+    return F.exists(vector, lambda x: F.abs(x.cast("double")) * scale >= F.lit(BOUND))
+
+
+def integers(vector: np.ndarray, scale: int) -> list[int]:
+    """``floor(scale * x)`` of finite numbers of any size; beyond 2^53 they are whole numbers themselves."""
+    return [int(x) * scale if abs(x) >= EXACT else math.floor(x * scale) for x in map(float, vector)]
 
 
 class ImpactIndex:
@@ -105,32 +115,54 @@ class ImpactIndex:
 
 
 def _matrix(packed: pd.Series) -> np.ndarray:
-    """The vectors as rows, filled up with zeros; 64-bit, so that sums of products do not overflow."""
-    rows = [np.frombuffer(v, dtype=">i4") for v in packed]
+    """The vectors as rows, filled up with zeros; those of wide vectors are all zeros."""
+    rows = [np.frombuffer(v, dtype=">i4") if v is not None else np.zeros(0, dtype=np.int64) for v in packed]
     matrix = np.zeros((len(rows), max(map(len, rows), default=0)), dtype=np.int64)
     for i, row in enumerate(rows):
         matrix[i, : len(row)] = row
     return matrix
 
 
-def _cell_search(k: int):
+def _whole_scores(query: list[int], vectors: np.ndarray, wide: dict[int, list[int]]) -> np.ndarray:
+    """The scores of all rows as numbers without a limit."""
+    width = min(len(query), vectors.shape[1])
+    scores = vectors[:, :width].astype(object) @ np.array(query[:width], dtype=object) if width else np.zeros(len(vectors), dtype=object)
+    for place, row in wide.items():
+        scores[place] = sum(a * b for a, b in zip(query, row))
+    return scores
+
+
+def _cell_search(k: int, scale: int):
     def search(cell: pd.DataFrame) -> pd.DataFrame:
         queries, rows = cell[cell["asks"]], cell[~cell["asks"]]
         both = _matrix(pd.concat([rows["vector"], queries["vector"]]))
+        wide = {i: integers(v, scale) for i, v in enumerate(rows["wide"]) if v is not None}
+        wide_queries = {i: integers(v, scale) for i, v in enumerate(queries["wide"]) if v is not None}
         ids, asking = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-        widest = np.abs(both).max(axis=0, initial=0).astype(float)
-        exact = (widest**2).sum() < EXACT
+        squares = (np.abs(both).max(axis=0, initial=0).astype(float) ** 2).sum()
         index, asked = ImpactIndex(both[: len(rows)]), both[len(rows) :]
+        is_wide_row = np.isin(np.arange(len(ids)), list(wide))
         found = []
         for start in range(0, len(asked) if len(ids) else 0, QUERIES_AT_ONCE):
             part = slice(start, start + QUERIES_AT_ONCE)
             own = asking[part, None] == ids[None, :]
-            if exact:
-                best = index.search(asked[part].astype(float), k, own)
-            else:  # sums in double precision would be rounded: take all scores as integers
-                best = [(np.flatnonzero(~o), index.vectors[~o] @ q) for o, q in zip(own, asked[part])]
-            for query_id, (places, scores) in zip(asking[part], best):
-                first = np.lexsort((ids[places], -scores))[:k]
+            # Sums beyond the exact range of doubles are taken as whole numbers.
+            best = index.search(asked[part].astype(float), k, own | is_wide_row) if squares < EXACT else [None] * len(own)
+            for i, (query_id, ours, known) in enumerate(zip(asking[part], own, best), start):
+                if known is None or i in wide_queries:
+                    places = np.flatnonzero(~ours)
+                    scores = _whole_scores(wide_queries.get(i, asked[i].tolist()), index.vectors, wide)[places]
+                else:
+                    places, scores = known
+                    if wide:
+                        others = np.array([p for p in wide if not ours[p]], dtype=np.int64)
+                        more = [sum(a * b for a, b in zip(asked[i].tolist(), wide[p])) for p in others.tolist()]
+                        places, scores = np.append(places, others), np.append(scores.astype(object), np.array(more, dtype=object))
+                first = np.lexsort((ids[places], -scores))[:k] if scores.dtype != object else np.array(
+                    sorted(range(len(places)), key=lambda j: (-scores[j], ids[places[j]]))[:k], dtype=np.int64  # noqa: B023
+                )
+                if any(not -(2**63) <= int(x) < 2**63 for x in scores[first]):
+                    raise OverflowError("a score does not fit a long")
                 found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[places][first], "score": scores[first].astype(np.int64)}))
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return pd.concat(found) if found else empty
@@ -142,19 +174,22 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 20, scale: int = SCALE,
     """``(query_id, rank, vec_id, score)``: for each query ``(vec_id, embedding)`` the ``k`` rows of the highest score."""
 
     def packed(df: DataFrame, asks: bool, name: str) -> DataFrame:
-        chosen = df.where(usable(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding"), scale).alias("v"))
+        vector = F.col("embedding")
+        chosen = df.where(usable(vector)).select(F.col("vec_id").cast("long").alias("vec_id"), vector.cast("array<double>").alias("x"))
+        wide = is_wide(F.col("x"), scale)
         # The integers as bytes: four each, the highest first.
-        digits = F.transform("v", lambda x: F.lpad(F.hex(F.pmod(x.cast("long"), F.lit(2**32))), 8, "0"))
-        return staged(chosen.select("vec_id", F.unhex(F.array_join(digits, "")).alias("vector"), F.lit(asks).alias("asks")), name)
+        digits = F.transform(quantised(F.col("x"), scale), lambda x: F.lpad(F.hex(F.pmod(x.cast("long"), F.lit(2**32))), 8, "0"))
+        packed_digits = F.when(~wide, F.unhex(F.array_join(digits, "")))
+        return staged(chosen.select("vec_id", packed_digits.alias("vector"), F.when(wide, F.col("x")).alias("wide"), F.lit(asks).alias("asks")), name)
 
     asked, listed = packed(queries.where("vec_id is not null"), True, "topk-queries"), packed(rows, False, "topk-rows")
     n_queries, n_rows = math.ceil(asked.count() / query_block) or 1, math.ceil(listed.count() / row_block) or 1
-    own_block = lambda n: F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int")
+    own_block = lambda n: F.pmod(F.xxhash64("vec_id", "vector", "wide"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     cells = asked.withColumn("q", own_block(n_queries)).withColumn("r", every(n_rows)).unionByName(
         listed.withColumn("r", own_block(n_rows)).withColumn("q", every(n_queries))
     )
     cells = cells.repartition(n_queries * n_rows, "q", "r")
-    found = cells.groupBy("q", "r").applyInPandas(_cell_search(k), "query_id long, vec_id long, score long")
+    found = cells.groupBy("q", "r").applyInPandas(_cell_search(k, scale), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
