@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ Verify = Callable[[DataFrame], DataFrame]
 MayLink = Callable[[Column, Column], Column]
 
 
+# Members of an open list that meet in one block of a round, and how many rounds there are at most.
+BLOCK, ROUNDS = 16, 6
+
+
 def _size_and_sum(edges: DataFrame) -> tuple[int, int]:
     found = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(found)
@@ -57,6 +62,33 @@ def _star_round(lists: DataFrame, verify: Verify, may_link: MayLink) -> tuple[Da
     return pairs, links, staged(labelled.join(mixed.where("lo < hi").drop("lo", "hi"), "item"), "open-lists")
 
 
+def _joined_by(open_lists: DataFrame, links: DataFrame) -> DataFrame:
+    """The lists with the components that ``links`` between their members join, those that still have several."""
+    labels = open_lists.select("node", "component").distinct()
+    label = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    joined = links.join(label("a"), "a").join(label("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(joined).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    renamed = open_lists.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component")).drop("merged")
+    renamed = staged(renamed, "relabelled-lists")
+    mixed = renamed.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("item")
+    return staged(renamed.join(mixed, "item", "left_semi"), "open-lists")
+
+
+def _pairs_across(open_lists: DataFrame, keys: list[str], may_link: MayLink) -> DataFrame:
+    """The distinct pairs ``(a, b)`` of members of different components with the same ``keys``."""
+    side = lambda x: open_lists.select(*keys, F.col("node").alias(x), F.col("component").alias(f"c{x}"), F.col("trait").alias(f"t{x}"))
+    met = side("a").join(side("b"), keys).where((F.col("ca") < F.col("cb")) & may_link(F.col("ta"), F.col("tb")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _left_to_compare(open_lists: DataFrame) -> tuple[int, int]:
+    """The entries of the lists, and their pairs across components."""
+    square = lambda n: F.col(n) * F.col(n)
+    sizes = open_lists.groupBy("item", "component").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.groupBy("item").agg(F.sum("n").alias("all"), F.sum(square("n")).alias("same"))
+    return tuple(whole.agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum((square("all") - F.col("same")) / 2), F.lit(0.0))).first())
+
+
 def linked_lists(lists: DataFrame, verify: Verify, may_link: MayLink, describe: Verify, may_link_across: MayLink) -> DataFrame:
     """Components of the links among nodes that share a list: ``(node, component)`` for the linked nodes.
 
@@ -65,20 +97,26 @@ def linked_lists(lists: DataFrame, verify: Verify, may_link: MayLink, describe:
     ``may_link``. Every such pair of nodes that share a list is either verified or already known to be connected:
 
     1. each member of a list is verified against the smallest member only, which takes as many pairs as there are entries;
-    2. the components of those links are looked up, and only in lists that still hold several components are
-       the pairs across components verified. For these lists ``describe`` adds traits that tell more, and no pair that
+    2. the components of those links are looked up, and lists that still hold several components go through rounds: they are dealt into blocks of
+       about ``BLOCK`` members, other ones in each round, and the pairs across components within a block are verified. That takes a
+       few pairs for each entry. Where many members are linked with many others, a few rounds join nearly all of them;
+    3. of what is left, all pairs across components are verified. For steps 2 and 3 ``describe`` adds traits that tell more, and no pair that
        ``may_link_across`` rules out by them leaves the join.
 
     So a list of thousands of copies costs thousands of pairs, not millions, and no link is lost.
     """
-    first, links, open_lists = _star_round(lists, verify, may_link)
-    open_lists, may_link = staged(describe(open_lists), "described-lists"), may_link_across
-    left = open_lists.select("item", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("trait").alias("ta"))
-    right = open_lists.select("item", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("trait").alias("tb"))
-    shared = (left["item"] == right["item"]) & (F.col("ca") < F.col("cb")) & may_link(F.col("ta"), F.col("tb"))
-    across = left.join(right, shared).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verify(across.distinct().join(first, ["a", "b"], "left_anti"))
-    return components(links.unionAll(staged(more, "more-links")))
+    _, links, open_lists = _star_round(lists, verify, may_link)
+    open_lists, found = staged(describe(open_lists), "described-lists"), [links]
+    for salt in range(ROUNDS):
+        entries, pairs = _left_to_compare(open_lists)
+        if pairs <= BLOCK * entries:
+            break
+        sizes = open_lists.groupBy("item").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+        dealt = open_lists.join(sizes, "item").withColumn("block", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")))
+        found.append(staged(verify(_pairs_across(dealt, ["item", "block"], may_link_across)), "block-links"))
+        open_lists = _joined_by(open_lists, found[-1])
+    more = verify(_pairs_across(open_lists, ["item"], may_link_across))
+    return components(reduce(DataFrame.unionAll, [*found, staged(more, "more-links")]))
 
 
 def settled_lists(lists: DataFrame, verify: Verify, may_link: MayLink, settle: Callable[[DataFrame], DataFrame]) -> DataFrame:

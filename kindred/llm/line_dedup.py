@@ -84,32 +84,32 @@ def counts_differ(a: Column, b: Column) -> Column:
     return reduce(Column.__add__, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS))])
 
 
-def distinct_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``(node, n, length, letters, probe...)`` per distinct line: how often it occurs, and the index entries to probe.
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """``(node, n, line, length, letters)`` per distinct line: how often it occurs, and what is known of it.
 
-    Those of a line's own length without a shift are its own entries."""
-    line, length = F.col("line"), F.col("length")
-    sized = lines.select(F.xxhash64("line").alias("node"), "line", F.char_length("line").alias("length"), letter_counts(line).alias("letters"))
-    entries = []
-    for i, (less, part, shift) in enumerate(_probe_shifts(edits)):
-        start, size = segment_bounds(length - less, part, edits)
-        # A start before the line stands for no substring: its entry is one that no index has.
-        entry = F.when(start + shift >= 1, _entry(length - less, part, line, start + shift, size)).otherwise(F.col("node"))
-        entries.append(entry.alias(f"probe{i}"))
-    rows = sized.select("node", "length", "letters", *entries)
-    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in rows.columns[1:]])
+    Lines are combined before the shuffle and after it, and only then is anything derived from them."""
+    counted = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.xxhash64("line").alias("node"), "n", "line", F.char_length("line").alias("length"), letter_counts(F.col("line")).alias("letters"))
 
 
 def segment_lists(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
-    """``(item, node, trait)``: for each entry of the index that another line probes, all lines that have or probe it."""
-    long_lines = lines.where(F.col("length") >= least_chars)
-    shifts = _probe_shifts(edits)
-    own = F.array(*[F.col(f"probe{i}") for i, (less, _, shift) in enumerate(shifts) if not less and not shift])
-    probes = F.array_distinct(F.array(*[F.col(f"probe{i}") for i in range(len(shifts))]))
-    index = long_lines.select(F.explode(own).alias("item"), F.col("node").alias("other"))
+    """``(item, node, trait)``: for each entry of the index that another line probes, all lines that have or probe it.
+
+    The probes of a line's own length without a shift are its own entries."""
+    line, length = F.col("line"), F.col("length")
+    own, probes = [], []
+    for less, part, shift in _probe_shifts(edits):
+        start, size = segment_bounds(length - less, part, edits)
+        # A start before the line stands for no substring: its entry is one that no index has.
+        probes.append(F.when(start + shift >= 1, _entry(length - less, part, line, start + shift, size)).otherwise(F.col("node")))
+        if not less and not shift:
+            own.append(probes[-1])
+    long_lines = lines.where(length >= least_chars)
+    index = long_lines.select(F.explode(F.array(*own)).alias("item"), F.col("node").alias("other"))
     index = index.groupBy("item").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
     # Lists are not sorted: their entries, most of which nobody else probes, are looked up in a hash table.
-    met = long_lines.select(F.explode(probes).alias("item"), "node").join(index.hint("shuffle_hash"), "item").where("lo <> node or hi <> node")
+    met = long_lines.select(F.explode(F.array_distinct(F.array(*probes))).alias("item"), "node").join(index.hint("shuffle_hash"), "item")
+    met = met.where("lo <> node or hi <> node")
     members = met.select("item", F.explode(F.array("node", "lo")).alias("node")).distinct()
     return members.join(lines.select("node", F.col("letters").alias("trait")), "node")
 
@@ -180,15 +180,14 @@ def pieces_match(longer: Column, shorter: Column, edits: int) -> Column:
     return found >= pieces - edits
 
 
-def line_texts(nodes: DataFrame, documents: DataFrame) -> DataFrame:
+def line_texts(nodes: DataFrame, lines: DataFrame) -> DataFrame:
     """``(node, line)`` of the lines in ``nodes``."""
-    texts = _lines(documents).select(F.xxhash64("line").alias("node"), "line").join(staged(nodes.distinct(), "line-nodes"), "node", "left_semi")
-    return staged(texts.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
+    return staged(lines.select("node", "line").join(staged(nodes.distinct(), "line-nodes"), "node", "left_semi"), "line-texts")
 
 
-def described(lists: DataFrame, documents: DataFrame) -> DataFrame:
+def described(lists: DataFrame, lines: DataFrame) -> DataFrame:
     """The lists with the lines themselves as a part of the trait."""
-    texts = line_texts(lists.select("node"), documents)
+    texts = line_texts(lists.select("node"), lines)
     return lists.withColumnRenamed("trait", "letters").join(texts, "node").withColumn("trait", F.struct("letters", "line")).drop("letters", "line")
 
 
@@ -200,10 +199,10 @@ def may_be_close(a: Column, b: Column, edits: int) -> Column:
     return (counts_differ(a["letters"], b["letters"]) <= 2 * edits) & lengths & pieces_match(longer, shorter, edits)
 
 
-def close_pairs(pairs: DataFrame, documents: DataFrame, edits: int) -> DataFrame:
+def close_pairs(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     """The pairs ``(a, b)`` of lines that are within ``edits`` edits."""
     pairs = staged(pairs, "line-pairs")
-    texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), documents)
+    texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), lines)
     # Lines are cut into characters below the joins: a filter would be pushed below a projection that does so, and cut them again at
     # every step of the distance.
     texts = texts.withColumn("chars", F.split("line", ""))
@@ -217,10 +216,10 @@ def close_pairs(pairs: DataFrame, documents: DataFrame, edits: int) -> DataFrame
 
 def removed_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``(doc_id, text_hash, removed)``: the places of the removed lines, for the documents that have any."""
-    distinct = staged(distinct_lines(_lines(documents), edits), "distinct-lines")
+    distinct = staged(distinct_lines(_lines(documents)), "distinct-lines")
     lists = staged(segment_lists(distinct, edits, least_chars), "segment-lists")
     may_link = lambda a, b: counts_differ(a, b) <= 2 * edits
-    verify, describe = lambda pairs: close_pairs(pairs, documents, edits), lambda left: described(left, documents)
+    verify, describe = lambda pairs: close_pairs(pairs, distinct, edits), lambda left: described(left, distinct)
     found = linked_lists(lists, verify, may_link, describe, lambda a, b: may_be_close(a, b, edits))
     groups = distinct.select("node", "n").join(found, "node", "left").where("n > 1 or component is not null")
     groups = groups.select("node", F.coalesce("component", "node").alias("component"))
