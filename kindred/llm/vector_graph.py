@@ -148,7 +148,10 @@ def with_long_links(lists: np.ndarray, links: int = LONG_LINKS) -> np.ndarray:
 
 
 def range_search(x: np.ndarray, lists: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """``found[i, j]``: whether the search for ``i`` on the lists met ``j`` at no less than the threshold."""
+    """``found[i, j]``: whether the search for ``i`` on the lists met ``j`` at no less than the threshold.
+
+    It begins at the medoid and at the own list of ``i``, which is a node of the graph itself: a small group far from all others may not be
+    met from the medoid."""
     n = len(x)
     lists = np.where(lists < 0, np.arange(n)[:, None], lists)
     middle = x.mean(axis=0)
@@ -158,6 +161,7 @@ def range_search(x: np.ndarray, lists: np.ndarray, threshold: float = THRESHOLD)
         near = x[start : start + AT_ONCE] @ x.T
         met, expanded = np.zeros(near.shape, dtype=bool), np.zeros(near.shape, dtype=bool)
         met[:, medoid] = True
+        met[np.arange(len(near))[:, None], lists[start : start + AT_ONCE]] = True
         active = np.arange(len(near))
         while len(active):  # greedily: expand what is not yet expanded of the best met
             seen = np.where(met[active], near[active], -np.inf)
@@ -181,6 +185,15 @@ def range_search(x: np.ndarray, lists: np.ndarray, threshold: float = THRESHOLD)
     return found
 
 
+def all_in_range(x: np.ndarray, threshold: float) -> np.ndarray:
+    """The same without a graph."""
+    found = np.zeros((len(x), len(x)), dtype=bool)
+    for start in range(0, len(x), AT_ONCE):
+        found[start : start + AT_ONCE] = x[start : start + AT_ONCE] @ x.T >= threshold
+    np.fill_diagonal(found, False)
+    return found
+
+
 def _forest(found: np.ndarray) -> np.ndarray:
     """The first member of the component of each vector."""
     n = len(found)
@@ -206,7 +219,7 @@ def _build(cell: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": nodes, "near": [nodes[row[row >= 0]] for row in lists]})
 
 
-def _search(threshold: float):
+def _search(threshold: float, exhaustive: bool):
     def search(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values("node", ignore_index=True)
         nodes, copies, block = cell["node"].to_numpy(), cell["copies"].to_numpy(), cell["block"].to_numpy()
@@ -217,7 +230,8 @@ def _search(threshold: float):
             at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
             inside = at[nodes[at] == wanted] if len(wanted) else at
             lists[i, : len(inside)] = inside
-        found = range_search(unit_rows(cell["vector"]), lists, threshold)
+        x = unit_rows(cell["vector"])
+        found = all_in_range(x, threshold) if exhaustive else range_search(x, lists, threshold)
         first = _forest(found)
         homes = np.stack(cell["homes"].to_list())
         links = np.zeros(len(nodes), dtype=np.int64)
@@ -233,17 +247,18 @@ def _search(threshold: float):
     return search
 
 
-def _links(found: DataFrame, means: np.ndarray, overlap: int, threshold: float, per_shard: int) -> DataFrame:
+def _links(found: DataFrame, means: np.ndarray, overlap: int, threshold: float, per_shard: int, exhaustive: bool = False) -> DataFrame:
     cells = staged(_cells(_assigned(found, means, overlap), per_shard), "vector-cells")
     key = ["shard", "lo", "hi"]
     lists = cells.select(*key, "node", "vector").groupBy(*key).applyInPandas(_build, "node long, near array<long>")
     united = staged(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "neighbour-lists")
     joined = cells.join(united, "node", "left").select(*key, "node", "copies", "vector", "homes", "block", "near")
-    return staged(joined.groupBy(*key).applyInPandas(_search(threshold), "node long, links long, root long"), "vector-links")
+    return staged(joined.groupBy(*key).applyInPandas(_search(threshold, exhaustive), "node long, links long, root long"), "vector-links")
 
 
 def audited_recall(found: DataFrame, links: DataFrame, count: int, threshold: float = THRESHOLD) -> float:
-    """The share of the links of a sample of about ``AUDITED`` classes, compared with all vectors, that the search has found."""
+    """Of a sample of about ``AUDITED`` classes, compared with all vectors: the share of its links that the search has found, per class that has any,
+    on average. So the classes of a dense group do not outweigh isolated pairs."""
     limit = int((1 << 30) * min(1.0, AUDITED / max(count, 1)))
     sample = found.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < F.lit(limit)).orderBy("node").limit(4 * AUDITED).toPandas()
     if not len(sample):
@@ -262,8 +277,8 @@ def audited_recall(found: DataFrame, links: DataFrame, count: int, threshold: fl
 
     true = found.mapInArrow(compare, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
     seen = links.groupBy("node").agg(F.sum("links").alias("links"))
-    total = true.join(seen, "node", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return total[1] / total[0] if total[0] else 1.0
+    share = F.least("true", F.coalesce("links", F.lit(0))) / F.col("true")
+    return true.where(F.col("true") > 0).join(seen, "node", "left").agg(F.coalesce(F.avg(share), F.lit(1.0))).first()[0]
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, per_shard: int = SHARD) -> DataFrame:
@@ -273,7 +288,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, overlap
     means = centroids(found, count)
     while True:
         links = _links(found, means, overlap, threshold, per_shard)
-        if overlap >= len(means) or audited_recall(found, links, count, threshold) >= RECALL:
+        if audited_recall(found, links, count, threshold) >= RECALL:
+            break
+        if overlap >= len(means):  # every vector is in every shard: the search misses what they hold
+            links = _links(found, means, overlap, threshold, per_shard, exhaustive=True)
             break
         overlap *= 2
     totals = links.groupBy("node").agg(F.sum("links").alias("links"))
