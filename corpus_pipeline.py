@@ -9,6 +9,10 @@ the one before has kept, and everything it drops is gone:
 3. near dedup: one document of each group of near-duplicates stays;
 4. mix: sources are mixed to their target weights; documents come as often as the mix takes them, some not at all;
 5. pack: the tokens of the mix are packed into sequences.
+
+A null text is scored like an empty one, has no lines and no words, and takes no part in the mix; a null source is a source of its own. Rows equal in
+id and text are one document to the line and near dedup. An empty table gives no pieces. Further columns of ``documents``, whatever their
+names, are carried to the last stage; ``n_chars`` is brought up to date if it is there.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = line_dedup.without_repeated_lines(docs)
+    if "n_chars" not in docs.columns:
+        return left
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
