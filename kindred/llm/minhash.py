@@ -36,6 +36,7 @@ from kindred.session import staged
 
 WORDS, SKETCH, SHARED = 5, 48, 22
 SIMILARITY = 75  # percent
+WORDS_OF_BITS = 4
 PIECE_BYTES = 1 << 20
 BLOCK, COLUMNS = 256, 4096
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -192,10 +193,35 @@ def sizes_may_link(a: Column, b: Column) -> Column:
     return (a * 100 >= b * SIMILARITY) & (b * 100 >= a * SIMILARITY)
 
 
+def with_signature(classes: DataFrame) -> DataFrame:
+    """Add the ``signature`` of each sketch: a struct of its size, of ``WORDS_OF_BITS`` words in which every value sets a bit, and of how many values
+    set a bit that another one has set already."""
+    last = lambda v: F.call_function("shiftleft", F.lit(1).cast("long"), v.bitwiseAND(63).cast("int"))
+    word = lambda v: F.shiftright(v, 6).bitwiseAND(WORDS_OF_BITS - 1)
+    zero = F.lit(0).cast("long")
+    bits = [
+        F.aggregate(F.filter("sketch", lambda v: word(v) == i), zero, lambda s, v: s.bitwiseOR(last(v))).alias(f"bits{i}")  # noqa: B023
+        for i in range(WORDS_OF_BITS)
+    ]
+    held = classes.select("*", F.struct(F.size("sketch").alias("size"), *bits).alias("signature"))
+    twice = F.col("signature.size") - sum(F.bit_count(F.col(f"signature.bits{i}")) for i in range(WORDS_OF_BITS))
+    return held.withColumn("signature", F.col("signature").withField("twice", twice))
+
+
+def signatures_may_match(a: Column, b: Column) -> Column:
+    """Whether the sketches can have as many values in common as is needed: those set as many bits in both signatures, but for values that
+    share a bit. No pair is ruled out that the sketches themselves would not rule out."""
+    common = sum(F.bit_count(a[f"bits{i}"].bitwiseAND(b[f"bits{i}"])) for i in range(WORDS_OF_BITS))
+    return common >= needed(F.greatest(a["size"], b["size"])) - F.least(a["twice"], b["twice"])
+
+
 def similar_pairs(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes that are similar: estimated from the sketch of the union, confirmed on the full sets."""
     side = lambda name: classes.select(F.col("key").alias(name), F.col("sketch").alias(f"s_{name}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b")
+    # A signature is a tenth of a sketch, and leaves few of the pairs that only share a list.
+    signed = lambda name: classes.select(F.col("key").alias(name), F.col("signature").alias(f"g_{name}"))
+    able = pairs.join(signed("a"), "a").join(signed("b"), "b").where(signatures_may_match(F.col("g_a"), F.col("g_b"))).select("a", "b")
+    sized = staged(able, "signed-pairs").join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     likely = staged(sized.where(both >= needed(F.size(union))).select("a", "b"), "likely-pairs")
@@ -275,7 +301,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """``(doc_id, key, n_shingles, class, component_id, kept)`` per document. Unlike the id, the class is a component's own."""
     rows = staged(sketches(documents), "sketches")
     classes = rows.where("n_shingles > 0").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    classes = staged(classes, "classes")
+    classes = staged(with_signature(classes), "classes")
     lists = staged(inverted_lists(classes), "inverted-lists")
     verify = lambda pairs: similar_pairs(pairs, classes, documents)
     found = settled_lists(lists, verify, sizes_may_link, lambda clusters: cluster_links(clusters, documents)).withColumnRenamed("node", "key")
