@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.params import BLOCK_ROWS, BROADCAST_ROWS, MATCHES_PER_TASK, PAIRS_PER_PARTITION
+from kindred.params import BLOCK_ROWS, BROADCAST_ROWS, MATCHES_PER_TASK, MOST_TASKS, PAIRS_PER_PARTITION
 from kindred.session import staged
 
 
@@ -49,7 +49,8 @@ class Groups:
         return self._tasks(self.join_matches)
 
     def _tasks(self, matches: float) -> int:
-        return max(SparkSession.active().sparkContext.defaultParallelism, math.ceil(matches / MATCHES_PER_TASK))
+        wanted = min(math.ceil(matches / MATCHES_PER_TASK), MOST_TASKS)
+        return max(SparkSession.active().sparkContext.defaultParallelism, wanted)
 
 
 def measure_groups(key: str, left: DataFrame, right: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> Groups:
@@ -144,6 +145,6 @@ def dealt(df: DataFrame, rows: float, *keys: str) -> DataFrame:
     An aggregation or a join on the same keys that follows needs no other shuffle. Below that number, the shuffle is left to them:
     they combine rows before it.
     """
-    partitions = math.ceil(rows / PAIRS_PER_PARTITION)
+    partitions = min(math.ceil(rows / PAIRS_PER_PARTITION), MOST_TASKS)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *keys) if partitions > usual else df

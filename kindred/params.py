@@ -31,6 +31,9 @@ BLOCK_ROWS = 1024
 # Number of matches within groups that one task of a join produces.
 MATCHES_PER_TASK = 10_000_000
 
+# Largest number of tasks that a join is dealt out to; beyond it, a task takes several groups or cells.
+MOST_TASKS = 200_000
+
 # Rows of two or three numbers that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
