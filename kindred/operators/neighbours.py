@@ -54,6 +54,11 @@ def nearest(directed: DataFrame, n_users: int, k: int, per_user: float = math.in
     else:
         counts = directed.groupBy("u").agg(F.count(F.lit(1)).alias("n_listed"))
         ranked = _first(directed, n_users, k).join(counts, "u")
+    return placed(ranked, n_users, k)
+
+
+def placed(ranked: DataFrame, n_users: int, k: int) -> DataFrame:
+    """``(u, v, sim, pos)`` up to ``k`` from the ``rank`` among the ``n_listed`` non-zero neighbours of each user."""
     zeros = F.lit(n_users - 1) - F.col("n_listed")
     pos = F.when(F.col("sim") > 0, F.col("rank")).otherwise(F.col("rank") + zeros).cast("long")
     return ranked.select("u", "v", "sim", pos.alias("pos")).where(F.col("pos") <= k)
