@@ -1,5 +1,5 @@
 from kindred.functions.pair import first_of, pair_key, second_of, symmetric_pair_key
-from kindred.functions.rating import denormalized, normalized, rounded_similarity, safe_ratio, scale
+from kindred.functions.rating import denormalized, normalized, rounded_similarity, safe_ratio, scale, similarity_units, units_similarity
 
 __all__ = [
     "denormalized",
@@ -10,5 +10,7 @@ __all__ = [
     "safe_ratio",
     "scale",
     "second_of",
+    "similarity_units",
     "symmetric_pair_key",
+    "units_similarity",
 ]
