@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.graph import settled_lists
+from kindred.llm.narrow import narrowed
 from kindred.session import staged
 
 WORDS, SKETCH, SHARED = 5, 48, 22
@@ -194,19 +195,22 @@ def sizes_may_link(a: Column, b: Column) -> Column:
 
 def similar_pairs(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes that are similar: estimated from the sketch of the union, confirmed on the full sets."""
-    side = lambda name: classes.select(F.col("key").alias(name), F.col("sketch").alias(f"s_{name}"))
+    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "pair-ends")
+    compared = narrowed(classes.select("key", "sketch"), "key", ends)
+    side = lambda name: compared.select(F.col("key").alias(name), F.col("sketch").alias(f"s_{name}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     likely = staged(sized.where(both >= needed(F.size(union))).select("a", "b"), "likely-pairs")
-    texts = class_texts(likely.select(F.explode(F.array("a", "b")).alias("key")).distinct(), documents)
+    texts = class_texts(likely.select(F.explode(F.array("a", "b")).alias("key")), documents)
     return with_texts(likely, texts).mapInArrow(_confirm_batches, "a binary, b binary")
 
 
 def class_texts(keys: DataFrame, documents: DataFrame) -> DataFrame:
     """``(key, text)`` of the classes in ``keys``."""
-    rows = documents.select(text_key().alias("key"), "text").join(staged(keys, "wanted-keys"), "key", "left_semi")
-    return staged(rows.groupBy("key").agg(F.first("text").alias("text")), "class-texts")
+    keys = staged(keys.distinct(), "wanted-keys")
+    texts = narrowed(documents.select(text_key().alias("key"), "text"), "key", keys).groupBy("key").agg(F.first("text").alias("text"))
+    return staged(texts.join(keys, "key"), "class-texts")
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
