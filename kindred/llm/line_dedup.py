@@ -21,12 +21,14 @@ an empty table. Other columns are carried along, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.graph import linked_lists
+from kindred.llm.narrow import narrowed
 from kindred.session import staged
 
 MAX_EDITS = 2
@@ -42,7 +44,10 @@ def _trimmed(line: Column) -> Column:
 def _lines(documents: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, pos, line)`` of the lines that are not blank."""
     cut = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return cut.withColumn("line", _trimmed(F.col("line"))).where("line <> ''")
+    line = F.col("line")
+    # Trimming looks at every character, so lines that have no blanks at their ends are spared it.
+    blank = reduce(Column.__or__, [end(line, F.lit(c)) for c in BLANKS for end in (F.startswith, F.endswith)])
+    return cut.withColumn("line", F.when(blank, _trimmed(line)).otherwise(line)).where("line <> ''")
 
 
 def segment_bounds(length: Column, part: int, edits: int) -> tuple[Column, Column]:
@@ -85,23 +90,23 @@ def counts_differ(a: Column, b: Column) -> Column:
 
 
 def distinct_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``(node, n, length, letters, probe...)`` per distinct line: how often it occurs, and the index entries to probe.
+    """``(node, n, length, probe...)`` per distinct line: how often it occurs, and the index entries to probe.
 
     Those of a line's own length without a shift are its own entries."""
     line, length = F.col("line"), F.col("length")
-    sized = lines.select(F.xxhash64("line").alias("node"), "line", F.char_length("line").alias("length"), letter_counts(line).alias("letters"))
+    sized = lines.select(F.xxhash64("line").alias("node"), "line", F.char_length("line").alias("length"))
     entries = []
     for i, (less, part, shift) in enumerate(_probe_shifts(edits)):
         start, size = segment_bounds(length - less, part, edits)
         # A start before the line stands for no substring: its entry is one that no index has.
         entry = F.when(start + shift >= 1, _entry(length - less, part, line, start + shift, size)).otherwise(F.col("node"))
         entries.append(entry.alias(f"probe{i}"))
-    rows = sized.select("node", "length", "letters", *entries)
+    rows = sized.select("node", "length", *entries)
     return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in rows.columns[1:]])
 
 
 def segment_lists(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
-    """``(item, node, trait)``: for each entry of the index that another line probes, all lines that have or probe it."""
+    """``(item, node)``: for each entry of the index that another line probes, all lines that have or probe it."""
     long_lines = lines.where(F.col("length") >= least_chars)
     shifts = _probe_shifts(edits)
     own = F.array(*[F.col(f"probe{i}") for i, (less, _, shift) in enumerate(shifts) if not less and not shift])
@@ -110,27 +115,49 @@ def segment_lists(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     index = index.groupBy("item").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
     # Lists are not sorted: their entries, most of which nobody else probes, are looked up in a hash table.
     met = long_lines.select(F.explode(probes).alias("item"), "node").join(index.hint("shuffle_hash"), "item").where("lo <> node or hi <> node")
-    members = met.select("item", F.explode(F.array("node", "lo")).alias("node")).distinct()
-    return members.join(lines.select("node", F.col("letters").alias("trait")), "node")
+    return met.select("item", F.explode(F.array("node", "lo")).alias("node")).distinct()
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _unlike(ends: Column) -> Column:
+    """The character arrays ``a``, the longer, and ``b`` of a struct from their first difference on, turned round."""
+    place = F.array_position(F.zip_with(ends["a"], ends["b"], lambda x, y: ~x.eqNullSafe(y)), True)
+    rest = lambda s, x: F.reverse(F.slice(x, F.when(s["place"] == 0, F.size(x) + 1).otherwise(s["place"]).cast("int"), F.size(x)))
+    placed = F.struct(ends["a"].alias("a"), ends["b"].alias("b"), place.alias("place"))
+    return _bound(placed, lambda s: F.struct(rest(s, s["a"]).alias("a"), rest(s, s["b"]).alias("b")))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether the character arrays ``a``, the longer, and ``b`` are at most ``edits`` edits apart.
 
+    What both begin or end with has no part in the distance, and is left out.
+    """
+    ends = _bound(F.struct(a.alias("a"), b.alias("b")), _unlike)
+    return _bound(ends, lambda first: _bound(_unlike(first), lambda s: F.when(F.size(s["b"]) == 0, F.size(s["a"]) <= edits).otherwise(_banded(s["a"], s["b"], edits))))
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
+    """:func:`within_edits` of arrays that are not empty.
+
     One column of the band around the diagonal is held as two numbers of ``2 * edits + 1`` bits: where the distance grows
     and where it falls from one cell to the next. Each character of ``b`` moves the band down by one, with a few operations
-    on whole columns. The distance is followed along the band's lower edge, and along the last row at the end.
+    on whole columns. The distance is followed along the band's lower edge, where it never falls, and along the last row at the
+    end, for ``edits`` columns at most: once it is beyond twice the edits, it stays too large.
     """
     top = 2 * edits
     band = F.lit((1 << (top + 1)) - 1).cast("long")
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     state = F.struct(
-        F.lit(((1 << (edits + 1)) - 1) << (top - edits)).cast("long").alias("up"), zero.alias("down"), F.lit(edits).alias("distance")
+        F.lit(((1 << (edits + 1)) - 1) << (top - edits)).cast("long").alias("up"), zero.alias("down"), F.least(F.lit(edits), F.size(a)).alias("distance")
     )
     lower_edge = F.size(a) - edits
 
     def step(s: Column, i: Column) -> Column:
-        return _advanced(_same(s, i))
+        return F.when(s["distance"] > 2 * edits, s).otherwise(_advanced(_same(s, i)))
 
     def _same(s: Column, i: Column) -> Column:
         here = F.get(b, i)
@@ -167,60 +194,71 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(places, state, step, lambda s: s["distance"] <= edits)
 
 
-def pieces_match(longer: Column, shorter: Column, edits: int) -> Column:
-    """Whether all but ``edits`` of the pieces of the shorter line occur in the longer one, at most as many characters off: every edit
-    spoils one piece at most. Few pairs that are not close get beyond this."""
-    pieces = 4 * edits
-    size = F.floor(F.char_length(shorter) / pieces).cast("int")
-    found = F.lit(0)
-    for i in range(pieces):
-        start = size * i + 1
-        window = F.substring(longer, F.greatest(start - edits, F.lit(1)), size + 2 * edits)
-        found = found + F.contains(window, F.substring(shorter, start, size)).cast("int")
-    return found >= pieces - edits
+def line_pieces(line: Column, length: Column, edits: int) -> Column:
+    """A line cut into four times as many pieces as there may be edits, without the characters that are left over."""
+    size = F.floor(length / (4 * edits)).cast("int")
+    return F.array(*[F.substring(line, size * i + 1, size) for i in range(4 * edits)])
+
+
+def pieces_match(longer: Column, length: Column, pieces: Column, edits: int) -> Column:
+    """Whether all but ``edits`` of the ``pieces`` of a shorter line of that length occur in the longer one, at most as many characters off:
+    every edit spoils one piece at most. Few pairs that are not close get beyond this."""
+    count = 4 * edits
+    size = F.floor(length / count).cast("int")
+    found = []
+    for i in range(count):
+        window = F.substring(longer, F.greatest(size * i + 1 - edits, F.lit(1)), size + 2 * edits)
+        found.append(F.contains(window, F.get(pieces, F.lit(i))))
+    # One of any edits + 1 pieces must occur: most pairs are ruled out by a few of them.
+    some = [reduce(Column.__or__, found[i : i + edits + 1]) for i in range(0, count - edits, edits + 1)]
+    return reduce(Column.__and__, [*some, reduce(Column.__add__, [f.cast("int") for f in found], F.lit(0)) >= count - edits])
 
 
-def line_texts(nodes: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(node, line)`` of the lines in ``nodes``."""
-    texts = _lines(documents).select(F.xxhash64("line").alias("node"), "line").join(staged(nodes.distinct(), "line-nodes"), "node", "left_semi")
-    return staged(texts.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
+def line_texts(nodes: DataFrame, documents: DataFrame, edits: int) -> DataFrame:
+    """``(node, line, letters, length, pieces)`` of the lines in ``nodes``."""
+    nodes = staged(nodes.distinct(), "line-nodes")
+    rows = narrowed(_lines(documents).select(F.xxhash64("line").alias("node"), "line"), "node", nodes)
+    texts = rows.groupBy("node").agg(F.first("line").alias("line")).join(nodes, "node")
+    texts = texts.withColumn("letters", letter_counts(F.col("line"))).withColumn("length", F.char_length("line"))
+    return staged(texts.withColumn("pieces", line_pieces(F.col("line"), F.col("length"), edits)), "line-texts")
 
 
-def described(lists: DataFrame, documents: DataFrame) -> DataFrame:
+def described(lists: DataFrame, texts: DataFrame) -> DataFrame:
     """The lists with the lines themselves as a part of the trait."""
-    texts = line_texts(lists.select("node"), documents)
-    return lists.withColumnRenamed("trait", "letters").join(texts, "node").withColumn("trait", F.struct("letters", "line")).drop("letters", "line")
+    return lists.drop("trait").join(texts, "node").select("item", "node", "component", F.struct("letters", "length", "line", "pieces").alias("trait"))
+
+
+def _longer_first(a: Column, b: Column) -> tuple[Callable[[str], Column], Callable[[str], Column]]:
+    """The parts of the longer and of the shorter of two lines."""
+    swap = a["length"] < b["length"]
+    return (lambda c: F.when(swap, b[c]).otherwise(a[c])), (lambda c: F.when(swap, a[c]).otherwise(b[c]))
 
 
 def may_be_close(a: Column, b: Column, edits: int) -> Column:
-    lines = a["line"], b["line"]
-    swap = F.char_length(lines[0]) < F.char_length(lines[1])
-    longer, shorter = F.when(swap, lines[1]).otherwise(lines[0]), F.when(swap, lines[0]).otherwise(lines[1])
-    lengths = F.char_length(longer) - F.char_length(shorter) <= edits
-    return (counts_differ(a["letters"], b["letters"]) <= 2 * edits) & lengths & pieces_match(longer, shorter, edits)
+    longer, shorter = _longer_first(a, b)
+    lengths = F.abs(a["length"] - b["length"]) <= edits
+    letters = counts_differ(a["letters"], b["letters"]) <= 2 * edits
+    return lengths & letters & pieces_match(longer("line"), shorter("length"), shorter("pieces"), edits)
 
 
-def close_pairs(pairs: DataFrame, documents: DataFrame, edits: int) -> DataFrame:
+def close_pairs(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """The pairs ``(a, b)`` of lines that are within ``edits`` edits."""
-    pairs = staged(pairs, "line-pairs")
-    texts = line_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")), documents)
-    # Lines are cut into characters below the joins: a filter would be pushed below a projection that does so, and cut them again at
-    # every step of the distance.
-    texts = texts.withColumn("chars", F.split("line", ""))
-    side = lambda name: texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("line", "chars")])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    swap = F.size("chars_a") < F.size("chars_b")
-    longer, shorter = ([F.when(swap, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")) for c in ("line", "chars")] for x, y in ("ba", "ab"))
-    may_be = (F.size(longer[1]) - F.size(shorter[1]) <= edits) & pieces_match(longer[0], shorter[0], edits)
-    return both.where(may_be).where(within_edits(longer[1], shorter[1], edits)).select("a", "b")
+    side = lambda name: texts.select(F.col("node").alias(name), F.struct("letters", "length", "line", "pieces").alias(f"line_{name}"))
+    a, b = F.col("line_a"), F.col("line_b")
+    longer, shorter = _longer_first(a, b)
+    near = within_edits(F.split(longer("line"), ""), F.split(shorter("line"), ""), edits)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(may_be_close(a, b, edits)).where(near).select("a", "b")
 
 
 def removed_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``(doc_id, text_hash, removed)``: the places of the removed lines, for the documents that have any."""
     distinct = staged(distinct_lines(_lines(documents), edits), "distinct-lines")
     lists = staged(segment_lists(distinct, edits, least_chars), "segment-lists")
+    # Few lines share an entry: only of these the letters are counted, and the texts fetched.
+    texts = line_texts(lists.select("node"), documents, edits)
+    lists = staged(lists.join(texts.select("node", F.col("letters").alias("trait")), "node"), "traits")
     may_link = lambda a, b: counts_differ(a, b) <= 2 * edits
-    verify, describe = lambda pairs: close_pairs(pairs, documents, edits), lambda left: described(left, documents)
+    verify, describe = lambda pairs: close_pairs(pairs, texts, edits), lambda left: described(left, texts)
     found = linked_lists(lists, verify, may_link, describe, lambda a, b: may_be_close(a, b, edits))
     groups = distinct.select("node", "n").join(found, "node", "left").where("n > 1 or component is not null")
     groups = groups.select("node", F.coalesce("component", "node").alias("component"))
