@@ -37,7 +37,8 @@ from kindred.session import staged
 
 WORDS, SKETCH, SHARED = 5, 48, 22
 SIMILARITY = 75  # percent
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 17
+ROWS = 256  # texts whose sets are in memory at a time
 BLOCK, COLUMNS = 256, 4096
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = np.arange(256, dtype=np.uint8)
@@ -63,7 +64,7 @@ _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _tables_for(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for pieces of up to ``n`` bytes."""
-    size = 2 << max(20, int(n).bit_length())
+    size = 2 << max(17, int(n).bit_length())
     if size not in _tables:
         _tables[size] = (_powers(BASE, size), _powers(pow(BASE, -1, 2**64), size))
     return _tables[size]
@@ -72,7 +73,7 @@ def _tables_for(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the texts ``data[offsets[i]:offsets[i + 1]]``: the hash of every word, and at which word each text begins.
 
-    A word's hash is a polynomial in its bytes, taken from running sums over a piece of about a megabyte. Pieces are cut
+    A word's hash is a polynomial in its bytes, taken from running sums over a piece of about 128 KB. Pieces are cut
     at white space, so memory does not grow with the length of a text.
     """
     hashes, starts_at = [], []
@@ -124,15 +125,14 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, whole.num_rows, ROWS)):
         counts, sizes, values = [], [], []
         for found in shingle_sets(batch.column("text")):
             counts.append(len(found))
-            values.append(found[:SKETCH])
+            values.append(found[:SKETCH].copy())  # a view would keep the whole set in memory
             sizes.append(len(values[-1]))
-        flat = np.concatenate(values) if values else np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        sketches = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        sketches = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()), sketches], ["doc_id", "key", "n_shingles", "sketch"]
         )
