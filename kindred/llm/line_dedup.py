@@ -228,6 +228,27 @@ def described(lists: DataFrame, texts: DataFrame) -> DataFrame:
     return lists.drop("trait").join(texts, "node").select("item", "node", "component", F.struct("letters", "length", "line", "pieces").alias("trait"))
 
 
+def pair_marks(line: Column) -> Column:
+    """A mark, a long, for each first, second, ... occurrence of two neighbouring characters, or of the last one and the end of the line.
+
+    An edit spoils two of them at most."""
+    chars = F.split(line, "")
+    pairs = F.array_sort(F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars), F.lit(1))), lambda x, y: F.xxhash64(x, y)))
+
+    def numbered(pairs: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(pairs) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(pairs, i) != F.get(pairs, i - 1)))
+        return _bound(F.concat(starts, F.array(F.size(pairs))), lambda starts: _runs(pairs, starts))
+
+    def _runs(pairs: Column, starts: Column) -> Column:
+        run = lambda r: F.transform(
+            F.sequence(F.get(starts, r), F.get(starts, r + 1) - 1), lambda i: F.xxhash64(F.get(pairs, i), i - F.get(starts, r))
+        )
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(starts) - 2), run))
+
+    return F.array_distinct(_bound(pairs, numbered))
+
+
 def _longer_first(a: Column, b: Column) -> tuple[Callable[[str], Column], Callable[[str], Column]]:
     """The parts of the longer and of the shorter of two lines."""
     swap = a["length"] < b["length"]
@@ -259,7 +280,8 @@ def removed_lines(documents: DataFrame, edits: int = MAX_EDITS, least_chars: int
     lists = staged(lists.join(texts.select("node", F.col("letters").alias("trait")), "node"), "traits")
     may_link = lambda a, b: counts_differ(a, b) <= 2 * edits
     verify, describe = lambda pairs: close_pairs(pairs, texts, edits), lambda left: described(left, texts)
-    found = linked_lists(lists, verify, may_link, describe, lambda a, b: may_be_close(a, b, edits))
+    marks = lambda trait: pair_marks(trait["line"])
+    found = linked_lists(lists, verify, may_link, describe, lambda a, b: may_be_close(a, b, edits), marks, 2 * edits)
     groups = distinct.select("node", "n").join(found, "node", "left").where("n > 1 or component is not null")
     groups = groups.select("node", F.coalesce("component", "node").alias("component"))
     places = _lines(documents).select("doc_id", "text_hash", "pos", F.xxhash64("line").alias("node")).join(staged(groups, "line-groups"), "node")
