@@ -228,7 +228,7 @@ class Model:
         lists = staged(member_lists(rated, self.items, "user_id"), "member-lists")
         matches = self.items.self_matches / len(rounds)
         of_part = lambda chosen: pairs_of_lists(rest_of_lists(lists, "user_id", chosen=chosen), terms, matches, self._most_listed)
-        return reduce(DataFrame.unionByName, [staged(reduced(of_part(chosen)), "round") for chosen in rounds])
+        return reduce(DataFrame.unionByName, [staged(reduced(of_part(chosen)), "round", compression="zstd") for chosen in rounds])
 
     def _matches(self, rated: DataFrame) -> DataFrame:
         """The lists of matches that cosine similarities are added up from, without those of users with themselves."""
@@ -284,7 +284,7 @@ class Model:
         if len(rounds) == 1:
             return metric_similarities(metric_pairs(self.normed, self.items, metrics), metrics)
         rated, terms = metric_rows(self.normed, metrics)
-        return self._pairs_in_rounds(rated, terms, rounds, lambda pairs: metric_similarities(pairs, metrics))
+        return self._pairs_in_rounds(rated, terms, rounds, lambda pairs: metric_similarities(pairs, metrics).sortWithinPartitions("u", "v"))
 
     def predict_by(self, metrics: Iterable[str] | Mapping[str, Metric]) -> DataFrame:
         """``(user_id, item_id, rating, <metric>...)`` for own and built-in metrics, all from one join of pairs and one of evidence."""

@@ -73,12 +73,12 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(SHUFFLES_DELETED) if before is None else spark.conf.set(SHUFFLES_DELETED, before)
 
 
-def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """Write ``df`` as a table in the scratch folder and return the table.
 
     Cuts the lineage: what follows survives the loss of executors without redoing what came before.
     """
     path = scratch_path(df.sparkSession, name)
     with shuffles_deleted(df.sparkSession):
-        df.write.partitionBy(*partition_by).parquet(path)
+        df.write.options(**options).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
